@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference is a weekly batch job with no streams, watermarks or state
+(no stream source, no incremental sink), so this package has no operators:
+the weekly refresh is ``tillroll.plans.weekly``, a batch job.
+"""

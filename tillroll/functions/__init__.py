@@ -1,7 +1,7 @@
 """Scalar column expressions used by the operators."""
 
 from tillroll.functions.dates import (  # noqa: F401
-    as_date_lit, date_parts, epoch_seconds, epoch_to_date, month_name, months_back, ts_text,
+    DATE_PARTS_SQL, as_date_lit, date_parts, epoch_seconds, epoch_to_date, month_name, months_back, ts_text,
 )
-from tillroll.functions.rounding import div_half_up, idiv, tenths, to_cents, trunc_div  # noqa: F401
+from tillroll.functions.rounding import cents, half_up, mean_tenths, tenths, toward_zero  # noqa: F401
 from tillroll.functions.text import bar_label, fixed1, thousands  # noqa: F401

@@ -18,6 +18,14 @@ def as_date_lit(d: _dt.date | str | Column) -> Column:
     return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d))
 
 
+# The cube's calendar keys of a date, as SQL text over ``{d}``.
+DATE_PARTS_SQL = {
+    "sale_month": "date_format({d}, 'MMMM')",
+    "num_month": "month({d})",
+    "sale_year": "year({d})",
+}
+
+
 def month_name(d: Column | str) -> Column:
     """Full English month name ("January")."""
     return F.date_format(_col(d), "MMMM")

@@ -6,7 +6,10 @@ depends on summation order and so on partitioning. Here every amount is held
 in integer cents and every rounding is an integer division, so results are
 the same on any number of partitions and equal to an independent SQL engine.
 
-All rounding is half away from zero, as Spark's ``round`` does.
+All rounding is half away from zero, as Spark's ``round`` does. The helpers
+return Spark SQL expression text (arguments are expression text too), so a
+whole formula reaches the JVM as one expression; ``col`` turns text into a
+Column.
 """
 
 from __future__ import annotations
@@ -15,33 +18,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _sign(x: Column) -> Column:
-    return F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
+def col(sql: str) -> Column:
+    return F.expr(sql)
 
 
-def idiv(num: Column, den: Column) -> Column:
-    """Integral division (SQL ``div``) of non-negative integers."""
-    return F.call_function("div", num, den)
+def sign(x: str) -> str:
+    """-1 for negative ``x``, else 1 (bigint; ``signum`` would give a double)."""
+    return f"(CASE WHEN ({x}) < 0 THEN -1L ELSE 1L END)"
 
 
-def div_half_up(num: Column, den: Column) -> Column:
-    """round(num / den), half away from zero, for integer ``num`` and
-    positive integer ``den``. Null when ``den`` is null, so pass
-    ``nullif(count, 0)`` for groups that may be empty.
-    """
-    return _sign(num) * idiv(F.abs(num) * 2 + den, den * 2)
+def half_up(num: str, den: str) -> str:
+    """round(num / den), half away from zero, for integer ``num`` and positive
+    integer ``den``. Null when ``den`` is null, so pass ``nullif(count, 0)``
+    for groups that may be empty."""
+    return f"({sign(num)} * ((2 * abs({num}) + ({den})) div (2 * ({den}))))"
 
 
-def trunc_div(num: Column, den: Column) -> Column:
+def toward_zero(num: str, den: str) -> str:
     """num / den truncated toward zero, as a cast to long does."""
-    return _sign(num) * idiv(F.abs(num), den)
+    return f"({sign(num)} * (abs({num}) div ({den})))"
 
 
-def to_cents(amount: Column) -> Column:
+def cents(amount: str) -> str:
     """Money with at most two decimals (double or decimal) as bigint cents."""
-    return F.round(amount * 100).cast("bigint")
+    return f"CAST(round(({amount}) * 100) AS BIGINT)"
 
 
-def tenths(x_tenths: Column) -> Column:
+def tenths(x_tenths: str) -> str:
     """A count of tenths as the double the reference's ``round(.., 1)`` gives."""
-    return x_tenths / F.lit(10.0)
+    return f"(({x_tenths}) / 10.0D)"
+
+
+def mean_tenths(total: str, count: str) -> str:
+    """round(total / count, 1) in tenths, for integer ``total`` in tenths."""
+    return half_up(total, f"nullif({count}, 0)")

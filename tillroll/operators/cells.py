@@ -20,40 +20,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.dates import date_parts
-from tillroll.functions.rounding import div_half_up, tenths, to_cents, trunc_div
+from tillroll.functions.dates import DATE_PARTS_SQL
+from tillroll.functions.rounding import cents, half_up, tenths, toward_zero
 from tillroll.schemas import CELL_MEASURES, CUBE_KEYS
 
 HIDDEN = ["_receipt10", "_quantity10"]
 
+_RECEIPT10 = half_up("_cents", "nullif(_n_amount, 0) * 10")
+_QUANTITY10 = half_up("sum_quantity * 10", "nullif(_n_quantity, 0)")
+
 
 def with_date_parts(sales: DataFrame, date_col: str = "sale_date") -> DataFrame:
-    return sales.withColumns(date_parts(date_col))
+    return sales.withColumns({n: F.expr(e.format(d=date_col)) for n, e in DATE_PARTS_SQL.items()})
 
 
 def cells_with_tenths(sales: DataFrame) -> DataFrame:
     """Cells with the five measures and the two hidden tenths columns."""
-    parts = date_parts("sale_date")
-    sums = sales.groupBy(
-        "region", "product_id", *[expr.alias(name) for name, expr in parts.items()]
-    ).agg(
-        F.sum(to_cents(F.col("sale_amount"))).alias("_cents"),
-        F.count("sale_amount").alias("_n_amount"),
-        F.count("sale_date").alias("count_sales"),
-        F.sum("quantity").cast("bigint").alias("sum_quantity"),
-        F.count("quantity").alias("_n_quantity"),
+    keys = [F.expr(f"{e.format(d='sale_date')} AS {n}") for n, e in DATE_PARTS_SQL.items()]
+    sums = sales.groupBy("region", "product_id", *keys).agg(
+        F.expr(f"sum({cents('sale_amount')}) AS _cents"),
+        F.expr("count(sale_amount) AS _n_amount"),
+        F.expr("count(sale_date) AS count_sales"),
+        F.expr("CAST(sum(quantity) AS BIGINT) AS sum_quantity"),
+        F.expr("count(quantity) AS _n_quantity"),
     )
-    receipt10 = div_half_up(F.col("_cents"), F.nullif(F.col("_n_amount"), F.lit(0)) * 10)
-    quantity10 = div_half_up(F.col("sum_quantity") * 10, F.nullif(F.col("_n_quantity"), F.lit(0)))
-    return sums.select(
+    return sums.selectExpr(
         *CUBE_KEYS,
-        tenths(receipt10).alias("avg_receipt"),
-        trunc_div(div_half_up(F.col("_cents"), F.lit(10)), F.lit(10)).alias("sum_amount"),
+        f"{tenths(_RECEIPT10)} AS avg_receipt",
+        f"{toward_zero(half_up('_cents', '10'), '10')} AS sum_amount",
         "count_sales",
         "sum_quantity",
-        tenths(quantity10).alias("avg_receipt_quantity"),
-        receipt10.alias("_receipt10"),
-        quantity10.alias("_quantity10"),
+        f"{tenths(_QUANTITY10)} AS avg_receipt_quantity",
+        f"{_RECEIPT10} AS _receipt10",
+        f"{_QUANTITY10} AS _quantity10",
     )
 
 

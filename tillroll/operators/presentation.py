@@ -45,7 +45,7 @@ def dashboard_product(cells: DataFrame) -> DataFrame:
 
 def dashboard_period(cells: DataFrame) -> DataFrame:
     """Sales by calendar month: the five month roll-ups, with the month number."""
-    return dimension_rollup(cells, "month_year", {"num_month": F.max("num_month")})
+    return dimension_rollup(cells, "month_year", {"num_month": "max(num_month)"})
 
 
 def dashboard_query(spark: SparkSession, views: dict[str, DataFrame], sql: str,

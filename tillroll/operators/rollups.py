@@ -19,39 +19,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.rounding import div_half_up, tenths
+from tillroll.functions.rounding import mean_tenths, tenths
 from tillroll.schemas import DIMENSIONS
 
 
-def dimension_rollup(cells: DataFrame, dim: str, extra_keys: dict | None = None) -> DataFrame:
+def dimension_rollup(cells: DataFrame, dim: str, extra_keys: dict[str, str] | None = None
+                     ) -> DataFrame:
     """One row per value of ``dim`` with its five roll-up measures.
 
     ``cells`` must carry the hidden tenths columns (``cells_with_tenths``).
-    ``extra_keys`` maps names to aggregate expressions of columns that are
-    functions of the dimension (e.g. ``num_month`` of a month name).
+    ``extra_keys`` maps names to SQL aggregates of columns that are functions
+    of the dimension (e.g. ``max(num_month)`` of a month name).
     """
     keys = DIMENSIONS[dim]
-    extras = [expr.alias(name) for name, expr in (extra_keys or {}).items()]
+    extras = list((extra_keys or {}).items())
     sums = cells.groupBy(*keys).agg(
-        *extras,
-        F.sum("_receipt10").alias("_r10"),
-        F.count("_receipt10").alias("_nr"),
-        F.sum("sum_amount").alias(f"sum_amount_{dim}"),
-        F.sum("count_sales").alias(f"count_sales_{dim}"),
-        F.sum("sum_quantity").alias(f"sum_quantity_{dim}"),
-        F.sum("_quantity10").alias("_q10"),
-        F.count("_quantity10").alias("_nq"),
+        *[F.expr(f"{e} AS {n}") for n, e in extras],
+        F.expr("sum(_receipt10) AS _r10"),
+        F.expr("count(_receipt10) AS _nr"),
+        F.expr(f"sum(sum_amount) AS sum_amount_{dim}"),
+        F.expr(f"sum(count_sales) AS count_sales_{dim}"),
+        F.expr(f"sum(sum_quantity) AS sum_quantity_{dim}"),
+        F.expr("sum(_quantity10) AS _q10"),
+        F.expr("count(_quantity10) AS _nq"),
     )
-    return sums.select(
+    return sums.selectExpr(
         *keys,
-        *(extra_keys or {}),
-        tenths(div_half_up(F.col("_r10"), F.nullif(F.col("_nr"), F.lit(0))))
-        .alias(f"avg_receipt_{dim}"),
+        *[n for n, _ in extras],
+        f"{tenths(mean_tenths('_r10', '_nr'))} AS avg_receipt_{dim}",
         f"sum_amount_{dim}",
         f"count_sales_{dim}",
         f"sum_quantity_{dim}",
-        tenths(div_half_up(F.col("_q10"), F.nullif(F.col("_nq"), F.lit(0))))
-        .alias(f"avg_receipt_quantity_{dim}"),
+        f"{tenths(mean_tenths('_q10', '_nq'))} AS avg_receipt_quantity_{dim}",
     )
 
 
@@ -59,12 +58,8 @@ def join_rollup(cells: DataFrame, rollup: DataFrame, dim: str) -> DataFrame:
     """Attach a dimension roll-up to every cell. Null-safe on the keys: a
     sale without a date forms a cell whose month and year are null."""
     keys = DIMENSIONS[dim]
-    right = rollup.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                          *[c for c in rollup.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-        cond = c if cond is None else cond & c
+    right = rollup.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    cond = F.expr(" AND ".join(f"{k} <=> _k_{k}" for k in keys))
     return cells.join(right, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 

@@ -14,6 +14,8 @@ Mapping (one sale per line item):
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,17 @@ TABLES = [
 ]
 
 
+# One DataFrame per (session, table file): the file listing and the footer
+# read happen once per session, as for a table in a catalog.
+_HANDLES: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    handles = _HANDLES.setdefault(spark, {})
+    if path not in handles:
+        handles[path] = spark.read.parquet(path)
+    return handles[path]
 
 
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,13 +61,20 @@ def products(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFram
 
 
 def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
-    """The 8-column sales fact. Orders are joined to customers first (the
-    smaller side), then line items to orders and parts; the planner picks
-    broadcast or sort-merge per join from the sizes it sees."""
+    """The 8-column sales fact.
+
+    Orders are joined to customers first (the smaller side), then line items
+    to orders and parts. Line items, orders and customers all grow with the
+    data, so those two joins are shuffle (sort-merge) joins at any size: a
+    broadcast of orders would be built on the driver and shipped to every
+    task. Parts and the fixed-size nation and region tables are left to the
+    planner, which broadcasts them only below its size threshold.
+    """
     orders = (
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
         .join(customer_regions(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
         .select("o_orderkey", "o_custkey", "region")
+        .hint("merge")
     )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")

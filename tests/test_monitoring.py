@@ -1,0 +1,43 @@
+"""Row counts, totals, the text report and the latest import."""
+
+import datetime as dt
+
+from tillroll.operators import monitoring
+
+
+def test_row_counts_report(spark):
+    tables = {"b": spark.range(1234), "a": spark.range(5)}
+    counts = monitoring.row_counts(tables, "parquet")
+    assert sorted((r.table_name, r.row_count) for r in counts.collect()) == [("a", 5), ("b", 1234)]
+    rep = monitoring.row_count_report(counts).first()
+    assert rep.total_rows == 1239
+    assert rep.report == "  • `a`: `5`\n  • `b`: `1,234`"
+
+
+def test_null_counts_add_zero_and_empty_placeholder(spark):
+    counts = spark.createDataFrame(
+        [("x", "t1", None), ("x", "t2", 7)], "source string, table_name string, row_count bigint")
+    rep = monitoring.row_count_report(counts).first()
+    assert rep.total_rows == 7
+    assert rep.report == "  • `t1`: `0`\n  • `t2`: `7`"
+    empty = spark.createDataFrame(
+        [("y", None, None)], "source string, table_name string, row_count bigint")
+    assert monitoring.row_count_report(empty.where("table_name IS NOT NULL")).count() == 0
+
+
+def test_catalog_counts_and_estimates(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mon_t")
+    spark.range(42).write.mode("overwrite").saveAsTable("mon_t.forty_two")
+    spark.range(3).createOrReplaceTempView("not_a_table")
+    counts = monitoring.catalog_row_counts(spark, "warehouse", "mon_t")
+    assert [(r.table_name, r.row_count) for r in counts.collect()] == [("forty_two", 42)]
+    # statistics-based estimate, as a store's row-count view gives
+    spark.sql("ANALYZE TABLE mon_t.forty_two COMPUTE STATISTICS")
+    stats = [r for r in spark.sql("DESCRIBE TABLE EXTENDED mon_t.forty_two").collect()
+             if r.col_name == "Statistics"][0].data_type
+    assert "42 rows" in stats
+
+
+def test_latest_import(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 2, 1),)], "import_date date")
+    assert monitoring.latest_import(df).first().latest_import == dt.date(2024, 2, 1)

@@ -38,57 +38,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return handles[path]
 
 
-def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(c_custkey, region). Nation and region are fixed-size dimensions."""
+def order_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, o_custkey, region) of every order.
+
+    Orders meet customers first, while the customer side is a plain scan: the
+    planner then sees its real size and broadcasts it only below the
+    broadcast threshold (a sort-merge join above it). Nation and region have
+    a fixed number of rows and follow as broadcast joins.
+    """
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
+    region = table(spark, sf_dir, "region").selectExpr("r_regionkey", "r_name AS region")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (
-        table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "region")
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        .join(customer, F.expr("o_custkey = c_custkey"))
+        .join(nation, F.expr("c_nationkey = n_nationkey"))
+        .join(region, F.expr("n_regionkey = r_regionkey"))
+        .select("o_orderkey", "o_custkey", "region")
     )
 
 
 def products(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
     """(p_partkey, product_id, price_product); product_id is the brand number,
     or the part key itself at ``grain='part'`` (about one row per cube cell)."""
-    part = table(spark, sf_dir, "part")
-    pid = (F.regexp_extract("p_brand", r"([0-9]+)", 1).cast("int") if grain == "brand"
-           else F.col("p_partkey"))
-    return part.select("p_partkey", pid.alias("product_id"),
-                       F.col("p_retailprice").alias("price_product"))
+    pid = ("CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INT)" if grain == "brand"
+           else "p_partkey")
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", f"{pid} AS product_id", "p_retailprice AS price_product")
 
 
 def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
-    """The 8-column sales fact.
-
-    Orders are joined to customers first (the smaller side), then line items
-    to orders and parts. Line items, orders and customers all grow with the
-    data, so those two joins are shuffle (sort-merge) joins at any size: a
-    broadcast of orders would be built on the driver and shipped to every
-    task. Parts and the fixed-size nation and region tables are left to the
-    planner, which broadcasts them only below its size threshold.
+    """The 8-column sales fact: line items joined to their orders (with the
+    customer's region) and to their parts.
+
+    Line items and orders both grow with the data, so they meet in a shuffle
+    (sort-merge) join at any size: a broadcast of orders would be built on
+    the driver and shipped to every task. Parts are left to the planner,
+    which broadcasts them only below its size threshold.
     """
-    orders = (
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").hint("merge")
-        .join(customer_regions(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-        .select("o_orderkey", "o_custkey", "region")
-        .hint("merge")
-    )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(products(spark, sf_dir, grain), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"),
-            F.col("o_custkey").alias("customer_id"),
+        lines.join(order_regions(spark, sf_dir).hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(products(spark, sf_dir, grain), F.expr("l_partkey = p_partkey"))
+        .selectExpr(
+            "l_orderkey * 10 + l_linenumber AS sale_id",
+            "o_custkey AS customer_id",
             "product_id",
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_shipdate").cast("date").alias("sale_date"),
+            "CAST(l_quantity AS INT) AS quantity",
+            "CAST(l_shipdate AS DATE) AS sale_date",
             "price_product",
-            F.col("l_extendedprice").alias("sale_amount"),
+            "l_extendedprice AS sale_amount",
             "region",
         )
     )

@@ -73,3 +73,20 @@ def test_chart_labels(spark):
 def test_empty_cube(spark):
     cube = sales_cube(_sales(spark, []), ["product_id"])
     assert top_products(cube, "receipt", dt.date(2001, 10, 15)).isEmpty()
+
+
+def test_one_pass_form_equals_cube_form(spark, sf_small):
+    from tillroll.operators.cells import cells_with_tenths
+    from tillroll.operators.dedup import dedup_full_row
+    from tillroll.operators.topk import top_products_from_cells
+    from tillroll.sources.testdata import sales_fact
+    fact = sales_fact(spark, sf_small)
+    cube = sales_cube(fact, ["product_id"])
+    cells = cells_with_tenths(dedup_full_row(fact))
+    for metric in ("receipt", "amount"):
+        for months, shift in ((0, False), (1, False), (1, True), (13, False)):
+            for as_of in (dt.date(2001, 10, 15), dt.date(1998, 1, 20)):
+                a = [tuple(r) for r in top_products(cube, metric, as_of, months, 10, shift).collect()]
+                b = [tuple(r) for r in top_products_from_cells(cells, metric, as_of, months, 10,
+                                                               shift).collect()]
+                assert a == b, (metric, months, shift, as_of)

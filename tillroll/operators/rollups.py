@@ -28,13 +28,13 @@ def dimension_rollup(cells: DataFrame, dim: str, extra_keys: dict[str, str] | No
     """One row per value of ``dim`` with its five roll-up measures.
 
     ``cells`` must carry the hidden tenths columns (``cells_with_tenths``).
-    ``extra_keys`` maps names to SQL aggregates of columns that are functions
-    of the dimension (e.g. ``max(num_month)`` of a month name).
+    ``extra_keys`` maps names to further aggregates (SQL text or Columns),
+    e.g. ``max(num_month)`` of a month name.
     """
     keys = DIMENSIONS[dim]
     extras = list((extra_keys or {}).items())
     sums = cells.groupBy(*keys).agg(
-        *[F.expr(f"{e} AS {n}") for n, e in extras],
+        *[(F.expr(e) if isinstance(e, str) else e).alias(n) for n, e in extras],
         F.expr("sum(_receipt10) AS _r10"),
         F.expr("count(_receipt10) AS _nr"),
         F.expr(f"sum(sum_amount) AS sum_amount_{dim}"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import as_date_lit, month_name, months_back
+from tillroll.operators.rollups import dimension_rollup
 
 # metric name -> (cube column, output alias)
 METRICS = {
@@ -50,3 +51,20 @@ def top_products(cube: DataFrame, metric: str, as_of, months: int = 0, k: int =
     return (month_products(cube, metric, as_of, months, shift_year)
             .orderBy(F.col(alias).desc_nulls_last(), F.col("product_id").asc())
             .limit(k))
+
+
+def top_products_from_cells(cells: DataFrame, metric: str, as_of, months: int = 0, k: int = 10,
+                            shift_year: bool = False) -> DataFrame:
+    """Same rows as ``top_products(sales_cube(...), ...)`` in one pass over
+    the cells, for when the cube is not stored: one aggregate per product
+    gives the all-time roll-up and whether the product sold in the month, so
+    the cells are not scanned twice and nothing is joined back.
+    ``cells`` must carry the hidden tenths columns (``cells_with_tenths``).
+    """
+    column, alias = METRICS[metric]
+    sold = F.max(month_filter(as_of, months, shift_year).cast("int"))
+    per_product = dimension_rollup(cells, "product_id", {"_sold": sold})
+    return (per_product.where(F.col("_sold") == 1)
+            .select("product_id", F.col(column).alias(alias))
+            .orderBy(F.col(alias).desc_nulls_last(), F.col("product_id").asc())
+            .limit(k))

@@ -18,7 +18,7 @@ from tillroll.operators import contracts, monitoring, presentation
 from tillroll.operators.cells import cell_aggregate, cells_with_tenths
 from tillroll.operators.dedup import dedup_full_row
 from tillroll.operators.lookup import lookup
-from tillroll.operators.topk import top_products
+from tillroll.operators.topk import top_products_from_cells
 from tillroll.plans.cube import sales_cube
 from tillroll.sources.generator import generate_sales
 from tillroll.sources.testdata import TABLES, sales_fact, table
@@ -43,9 +43,10 @@ def _cube(spark, sf_dir, dims=None, grain="brand"):
 
 
 def _top(metric: str, months: int) -> Query:
+    """Top-k over the cube built from the raw tables; the one-pass form gives
+    the same rows as ``top_products`` over a stored cube."""
     def run(spark, sf_dir):
-        cube = _cube(spark, sf_dir, dims=["product_id"])
-        return top_products(cube, metric, AS_OF, months, TOP_K)
+        return top_products_from_cells(_cells(spark, sf_dir), metric, AS_OF, months, TOP_K)
     return run
 
 
@@ -134,8 +135,9 @@ QUERIES: dict[str, Query] = {
     "top10_amount_cur": _top("amount", 0),
     "top10_amount_prev": _top("amount", 1),
     "top10_receipt_prev": _top("receipt", 1),
-    "distinct_product_metric": lambda s, d: _cube(s, d, dims=["product_id"]).select(
-        "product_id", F.col("avg_receipt_product_id").alias("avg_receipt")).distinct(),
+    # distinct (product, metric) of the cube = the product roll-up itself
+    "distinct_product_metric": lambda s, d: presentation.dashboard_product(_cells(s, d)).select(
+        "product_id", F.col("avg_receipt_product_id").alias("avg_receipt")),
     # 4. monitoring
     "row_counts": _row_counts,
     "row_counts_total": lambda s, d: monitoring.row_count_totals(_row_counts(s, d)),

@@ -39,6 +39,7 @@ PRICE_TIERS_CENTS = [
     (21, 50, 10000, 50000),
     (51, 70, 100000, 500000),
 ]
+ROWS_PER_PARTITION = 5_000_000
 N_PRODUCTS = 70
 N_CUSTOMERS = 5000
 DAYS_BACK = 365
@@ -86,6 +87,10 @@ def generate_sales(spark: SparkSession, n: int, as_of: _dt.date, seed: int = 42,
     if math.gcd(PERMUTE_A, total) != 1:
         raise ValueError(f"permutation multiplier is not coprime with {total}")
 
+    # Bounded tasks: a lost task regenerates at most ROWS_PER_PARTITION rows.
+    if num_partitions is None:
+        num_partitions = max(spark.sparkContext.defaultParallelism,
+                             -(-total // ROWS_PER_PARTITION))
     ids = spark.range(0, total, numPartitions=num_partitions)
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
     # Decimal arithmetic keeps id * A exact beyond the bigint range.

@@ -33,3 +33,21 @@ def test_weekly_refuses_duplicate_keys(spark):
     raw = generate_sales(spark, 1000, dt.date(2025, 3, 4))
     with pytest.raises(ContractError):
         run_weekly(spark, raw.unionAll(raw.limit(3)), "weekly_dup")
+
+
+def test_topk_on_stored_cube_prunes(spark):
+    from tillroll.operators.topk import top_products
+    raw = generate_sales(spark, 3000, dt.date(2025, 3, 4))
+    run_weekly(spark, raw, "weekly_topk", dt.date(2025, 3, 4)).first()
+    stored = spark.read.table("weekly_topk.sales_aggregated_wh")
+    top = top_products(stored, "amount", dt.date(2025, 3, 4), months=1)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = top._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(sale_year,2025)" in plan and "EqualTo(num_month,2)" in plan
+    assert "TakeOrderedAndProject" in plan
+    expected = top_products(sales_cube(raw), "amount", dt.date(2025, 3, 4), months=1)
+    assert [tuple(r) for r in top.collect()] == [tuple(r) for r in expected.collect()]
+    assert top.count() == 10

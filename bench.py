@@ -43,7 +43,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=cpus)
     for name in names:

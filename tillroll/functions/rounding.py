@@ -8,19 +8,11 @@ the same on any number of partitions and equal to an independent SQL engine.
 
 All rounding is half away from zero, as Spark's ``round`` does. The helpers
 return Spark SQL expression text (arguments are expression text too), so a
-whole formula reaches the JVM as one expression; ``col`` turns text into a
-Column.
+whole formula reaches the JVM as one expression (``F.expr``/``selectExpr``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-
-def col(sql: str) -> Column:
-    return F.expr(sql)
-
 
 def sign(x: str) -> str:
     """-1 for negative ``x``, else 1 (bigint; ``signum`` would give a double)."""

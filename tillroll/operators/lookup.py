@@ -11,8 +11,10 @@ DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def fits(dim: DataFrame, max_rows: int) -> bool:
-    """True if ``dim`` has at most ``max_rows`` rows. Reads no more than
-    ``max_rows + 1`` rows, so the check is cheap on any size."""
+    """True if ``dim`` has at most ``max_rows`` rows. One job over the
+    dimension's join columns in which each task stops after ``max_rows + 1``
+    rows: a small dimension is read once, a large one is cut short per task,
+    and the fact is not touched."""
     return dim.limit(max_rows + 1).count() <= max_rows
 
 

@@ -60,3 +60,22 @@ def test_refresh_table_is_full_refresh_with_evolution(spark):
     assert set(types) <= set(stored.columns)
     assert stored.where("retired IS NOT NULL").count() == 0
     assert dict(stored.dtypes)["avg_receipt_region"] == "decimal(12,1)"
+
+
+def test_refresh_from_itself_and_failed_write_keeps_table(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks_swap")
+    t = "sinks_swap.nums"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    types = {"k": "bigint", "v": "string"}
+    refresh_table(spark, spark.range(10).selectExpr("id AS k", "CAST(id AS STRING) AS v"), t, types)
+    # a new version computed from the table it replaces
+    refresh_table(spark, spark.read.table(t).where("k < 5"), t, types)
+    assert spark.read.table(t).count() == 5
+    # a write that fails half way leaves the old rows
+    bad = spark.range(10).selectExpr("id AS k", "CAST(id AS STRING) AS v").withColumn(
+        "k", F.expr("CASE WHEN k = 7 THEN CAST(raise_error('boom') AS BIGINT) ELSE k END"))
+    try:
+        refresh_table(spark, bad, t, types)
+    except Exception:
+        pass
+    assert sorted(r.k for r in spark.read.table(t).collect()) == [0, 1, 2, 3, 4]

@@ -51,3 +51,10 @@ def test_topk_on_stored_cube_prunes(spark):
     expected = top_products(sales_cube(raw), "amount", dt.date(2025, 3, 4), months=1)
     assert [tuple(r) for r in top.collect()] == [tuple(r) for r in expected.collect()]
     assert top.count() == 10
+
+
+def test_command_line(spark, capsys):
+    from tillroll.plans.weekly import main
+    main(["--generate", "2000", "--database", "weekly_cli", "--as-of", "2025-02-01"])
+    out = capsys.readouterr().out
+    assert "`sales`: `2,000`" in out and "sales_aggregated_wh" in out

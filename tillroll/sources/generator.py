@@ -93,8 +93,10 @@ def generate_sales(spark: SparkSession, n: int, as_of: _dt.date, seed: int = 42,
                              -(-total // ROWS_PER_PARTITION))
     ids = spark.range(0, total, numPartitions=num_partitions)
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
-    # Decimal arithmetic keeps id * A exact beyond the bigint range.
-    k = ((F.col("id").cast("decimal(38,0)") * PERMUTE_A + PERMUTE_B) % total).cast("bigint")
+    # id * A + B must stay exact: bigint while it fits, decimal beyond.
+    ident = F.col("id") if total * PERMUTE_A + PERMUTE_B < 2 ** 63 \
+        else F.col("id").cast("decimal(38,0)")
+    k = ((ident * PERMUTE_A + PERMUTE_B) % total).cast("bigint")
 
     region = product = quantity = None
     bound = 0

@@ -37,15 +37,21 @@ def write_parquet(df: DataFrame, path: str, cluster_by: list[str] | None = None,
 
 
 def refresh_table(spark: SparkSession, df: DataFrame, table: str, types: dict[str, str],
-                  cluster_by: list[str] | None = None, fmt: str = "parquet") -> None:
+                  cluster_by: list[str] | None = None, fmt: str = "parquet",
+                  swap: bool = True) -> None:
     """Full refresh of a catalog table with a fixed type contract.
 
     Creates the table if absent, adds contract columns it lacks (additive
-    evolution: nothing is dropped or retyped), casts the rows to the
-    contract and overwrites the table's data, inserting by position in the
-    table's own column order. The overwrite replaces the data files of the
-    table; readers see either the old or the new files of each path, but the
-    swap is not atomic across the whole table.
+    evolution: nothing is dropped or retyped), casts the rows to the contract
+    and replaces the table's rows, by position in the table's own column
+    order.
+
+    With ``swap`` (the default) the rows are written to a staging table
+    first, and only a complete write replaces the table (drop, then rename
+    the staging table). A failed or killed write leaves the old table
+    as it was, and ``df`` may even read the table it replaces. Without
+    ``swap`` the table is overwritten in place, which is cheaper, but a failed
+    job leaves it partly written.
     """
     create_table_if_absent(spark, table, types, fmt)
     add_missing_columns(spark, table, types)
@@ -56,7 +62,16 @@ def refresh_table(spark: SparkSession, df: DataFrame, table: str, types: dict[st
         # A column the table has but the contract no longer lists stays, empty.
         columns.append(F.col(name).cast(types[name]).alias(field.name) if name
                        else F.lit(None).cast(field.dataType).alias(field.name))
-    clustered(df.select(*columns), cluster_by).write.insertInto(table, overwrite=True)
+    rows = clustered(df.select(*columns), cluster_by)
+    if not swap:
+        rows.write.insertInto(table, overwrite=True)
+        return
+    staging = f"{table}__staging"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    spark.sql(f"CREATE TABLE {staging} LIKE {table}")
+    rows.write.insertInto(staging, overwrite=True)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

@@ -65,6 +65,7 @@ def test_chart_labels(spark):
     assert labels[1].rank == 2 and labels[1].display_pos == 1
     assert labels[2].value_label == "2.50M"
     assert labels[1].value_label == "1,234.0"
+    assert labels[2].axis_label == "2.5M" and labels[1].axis_label == "1,234"
     assert labels[1].product_label == "1"
     assert abs(labels[1].axis_max - 2500000 * 1.18) < 1e-6
     assert abs(labels[1].label_x - (1234 + 2500000 * 0.01)) < 1e-6

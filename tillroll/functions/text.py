@@ -20,3 +20,9 @@ def bar_label(w: Column) -> Column:
     """Value label of a bar: '1.23M' from one million up, else '12,345.6'."""
     millions = F.call_function("format_number", w / 1e6, F.lit("0.00"))
     return F.when(w >= 1e6, F.concat(millions, F.lit("M"))).otherwise(fixed1(w))
+
+
+def tick_label(x: Column) -> Column:
+    """Axis tick text: '1.2M' from one million up, else '12,346' (half-even)."""
+    millions = F.call_function("format_number", x / 1e6, F.lit("0.0"))
+    return F.when(x >= 1e6, F.concat(millions, F.lit("M"))).otherwise(thousands(x))

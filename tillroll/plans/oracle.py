@@ -112,6 +112,8 @@ def chart_sql(metric: str) -> str:
            CAST(product_id AS VARCHAR) AS product_label,
            CASE WHEN {v} >= 1e6 THEN format('{{:.2f}}M', {fv} / 1e6)
                 ELSE format('{{:,.1f}}', {fv}) END AS value_label,
+           CASE WHEN {v} >= 1e6 THEN format('{{:.1f}}M', {fv} / 1e6)
+                ELSE format('{{:,.0f}}', {fv}) END AS axis_label,
            coalesce(mx, 1) * 1.18::DOUBLE AS axis_max,
            {v} + mx * 0.01::DOUBLE AS label_x
     FROM (SELECT *, CAST(row_number() OVER (ORDER BY {v} DESC, product_id) AS INTEGER) AS rank,

@@ -51,6 +51,13 @@ def test_topk_on_stored_cube_prunes(spark):
     expected = top_products(sales_cube(raw), "amount", dt.date(2025, 3, 4), months=1)
     assert [tuple(r) for r in top.collect()] == [tuple(r) for r in expected.collect()]
     assert top.count() == 10
+    from tillroll.operators.topk import top_products_sql
+    for metric in ("receipt", "amount"):
+        for months in (0, 1):
+            a = top_products(stored, metric, dt.date(2025, 3, 4), months=months).collect()
+            b = top_products_sql(spark, "weekly_topk.sales_aggregated_wh", metric,
+                                 dt.date(2025, 3, 4), months=months).collect()
+            assert [tuple(r) for r in a] == [tuple(r) for r in b]
 
 
 def test_command_line(spark, capsys):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import as_date_lit, month_name, months_back
@@ -68,3 +68,27 @@ def top_products_from_cells(cells: DataFrame, metric: str, as_of, months: int =
             .select("product_id", F.col(column).alias(alias))
             .orderBy(F.col(alias).desc_nulls_last(), F.col("product_id").asc())
             .limit(k))
+
+
+# The same query as SQL over a stored cube, for SQL users; the table and the
+# day are bound as parameters, the month offset and k are integers.
+TOP_SQL = """
+SELECT DISTINCT product_id, {column} AS {alias}
+FROM IDENTIFIER(:cube)
+WHERE sale_month = date_format({target}, 'MMMM')
+  AND num_month = month({target})
+  AND sale_year = year({year_of})
+ORDER BY {alias} DESC, product_id
+LIMIT {k}
+"""
+
+
+def top_products_sql(spark: SparkSession, cube_table: str, metric: str, as_of,
+                     months: int = 0, k: int = 10, shift_year: bool = False) -> DataFrame:
+    """``top_products`` over a stored cube, written as SQL."""
+    column, alias = METRICS[metric]
+    target = f"add_months(:as_of, -{int(months)})"
+    sql = TOP_SQL.format(column=column, alias=alias, target=target, k=int(k),
+                         year_of=target if shift_year else ":as_of")
+    day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(as_of)
+    return spark.sql(sql, args={"cube": cube_table, "as_of": day})

@@ -41,3 +41,15 @@ def test_catalog_counts_and_estimates(spark):
 def test_latest_import(spark):
     df = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 2, 1),)], "import_date date")
     assert monitoring.latest_import(df).first().latest_import == dt.date(2024, 2, 1)
+
+
+def test_estimated_counts(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS est_t")
+    spark.range(42).write.mode("overwrite").saveAsTable("est_t.analysed")
+    spark.range(7).write.mode("overwrite").saveAsTable("est_t.fresh")
+    spark.sql("ANALYZE TABLE est_t.analysed COMPUTE STATISTICS")
+    est = {r.table_name: r.row_count
+           for r in monitoring.estimated_row_counts(spark, "stats", "est_t").collect()}
+    assert est == {"analysed": 42, "fresh": None}
+    rep = monitoring.row_count_report(monitoring.estimated_row_counts(spark, "stats", "est_t"))
+    assert rep.first().report == "  • `analysed`: `42`\n  • `fresh`: `0`"

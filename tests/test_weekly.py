@@ -23,6 +23,7 @@ def test_weekly_refresh(spark):
     assert wh.columns == WAREHOUSE_COLUMNS
     assert wh.agg({"import_date": "max"}).first()[0] == dt.date(2025, 3, 4)
     assert report.total_rows == total + 2 * cube.count()
+    assert report.latest_import == dt.date(2025, 3, 4)
     assert f"`sales`: `{total:,}`" in report.report
     # a second run replaces, never appends
     run_weekly(spark, raw, "weekly_t", dt.date(2025, 3, 4)).first()

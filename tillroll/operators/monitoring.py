@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.functions.text import thousands
 
@@ -29,7 +31,8 @@ def row_counts(tables: dict[str, DataFrame], source: str) -> DataFrame:
 
 
 def catalog_tables(spark, database: str | None = None,
-                   exclude_types: tuple[str, ...] = ("VIEW", "TEMPORARY")) -> list[str]:
+                   exclude_types: tuple[str, ...] = ("VIEW", "MATERIALIZED_VIEW", "TEMPORARY")
+                   ) -> list[str]:
     """Table names of a catalog database, without views, sorted. The list is
     catalog metadata (bounded by the number of tables), not data."""
     return sorted(t.name for t in spark.catalog.listTables(database)
@@ -42,6 +45,28 @@ def catalog_row_counts(spark, source: str, database: str | None = None) -> DataF
     return row_counts({n: spark.read.table(prefix + n) for n in names}, source)
 
 
+COUNTS_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("row_count", T.LongType()),
+])
+
+
+def estimated_row_counts(spark, source: str, database: str | None = None) -> DataFrame:
+    """(source, table_name, row_count) from the catalog's table statistics,
+    without reading any data: the count last computed by ``ANALYZE TABLE``,
+    null for a table never analysed. An estimate, like a store's live-row
+    statistics; ``catalog_row_counts`` is the exact count."""
+    prefix = f"{database}." if database else ""
+    rows = []
+    for name in catalog_tables(spark, database):
+        stats = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {prefix}{name}").collect()
+                 if r.col_name == "Statistics"]
+        found = re.search(r"(\d+) rows", stats[0]) if stats else None
+        rows.append((source, name, int(found.group(1)) if found else None))
+    return spark.createDataFrame(rows, COUNTS_SCHEMA)
+
+
 def row_count_totals(counts: DataFrame) -> DataFrame:
     """(source, total_rows); a null count adds 0."""
     return counts.groupBy("source").agg(

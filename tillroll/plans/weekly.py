@@ -51,7 +51,8 @@ def check_raw(raw: DataFrame) -> None:
 
 def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
                import_date: _dt.date | None = None, source: str = "warehouse") -> DataFrame:
-    """Load ``raw`` and rebuild the cube tables; returns the row-count report."""
+    """Load ``raw`` and rebuild the cube tables. Returns the row-count report
+    with the warehouse cube's latest import day."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     name = f"{database}.{{}}".format
     check_raw(raw)
@@ -69,7 +70,8 @@ def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
                   cluster_by=["sale_year", "num_month"])
 
     counts = monitoring.catalog_row_counts(spark, source, database)
-    return monitoring.row_count_report(counts)
+    latest = monitoring.latest_import(spark.read.table(name(WAREHOUSE_TABLE))).scalar()
+    return monitoring.row_count_report(counts).withColumn("latest_import", latest)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -91,6 +93,7 @@ def main(argv: list[str] | None = None) -> None:
            else generate_sales(spark, args.generate, args.as_of, args.seed))
     report = run_weekly(spark, raw, args.database, args.as_of)
     for row in report.collect():  # one row per source: a few lines of text
+        print(f"import date: {row['latest_import']}")
         print(f"{row['source']} (total rows: {row['total_rows']:,}):\n{row['report']}")
 
 

@@ -91,3 +91,10 @@ def test_one_pass_form_equals_cube_form(spark, sf_small):
                 b = [tuple(r) for r in top_products_from_cells(cells, metric, as_of, months, 10,
                                                                shift).collect()]
                 assert a == b, (metric, months, shift, as_of)
+
+
+def test_default_day_is_today(spark):
+    today = dt.date.today()
+    cube = sales_cube(_sales(spark, [(1, 1, today, 3.0), (2, 1, today.replace(day=1), 5.0)]),
+                      ["product_id"])
+    assert [r.product_id for r in top_products(cube, "amount", None).collect()] == [2, 1]

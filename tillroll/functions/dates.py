@@ -12,7 +12,10 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def as_date_lit(d: _dt.date | str | Column) -> Column:
+def as_date_lit(d: _dt.date | str | Column | None) -> Column:
+    """A date Column; ``None`` is today (``current_date()``)."""
+    if d is None:
+        return F.current_date()
     if isinstance(d, Column):
         return d
     return F.lit(d if isinstance(d, _dt.date) else _dt.date.fromisoformat(d))

@@ -17,8 +17,9 @@ METRICS = {
 }
 
 
-def month_filter(as_of: _dt.date | str, months: int = 0, shift_year: bool = False):
-    """Predicate on the cube's calendar keys for ``as_of - months``.
+def month_filter(as_of: _dt.date | str | None, months: int = 0, shift_year: bool = False):
+    """Predicate on the cube's calendar keys for ``as_of - months``
+    (``as_of=None``: today).
 
     As specified, the year is that of ``as_of`` even when the month steps
     back over New Year (so "previous month" in January finds nothing);
@@ -90,5 +91,8 @@ def top_products_sql(spark: SparkSession, cube_table: str, metric: str, as_of,
     target = f"add_months(:as_of, -{int(months)})"
     sql = TOP_SQL.format(column=column, alias=alias, target=target, k=int(k),
                          year_of=target if shift_year else ":as_of")
-    day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(as_of)
+    if as_of is None:
+        day = _dt.date.today()
+    else:
+        day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(as_of)
     return spark.sql(sql, args={"cube": cube_table, "as_of": day})

@@ -20,9 +20,13 @@ def test_null_counts_add_zero_and_empty_placeholder(spark):
     rep = monitoring.row_count_report(counts).first()
     assert rep.total_rows == 7
     assert rep.report == "  • `t1`: `0`\n  • `t2`: `7`"
-    empty = spark.createDataFrame(
-        [("y", None, None)], "source string, table_name string, row_count bigint")
-    assert monitoring.row_count_report(empty.where("table_name IS NOT NULL")).count() == 0
+    both = {r.source: r for r in monitoring.row_count_report(counts, ["x", "y"]).collect()}
+    assert both["x"].report == rep.report
+    assert both["y"].report == monitoring.NO_TABLES and both["y"].total_rows == 0
+    spark.sql("CREATE DATABASE IF NOT EXISTS empty_db")
+    none = monitoring.catalog_row_counts(spark, "warehouse", "empty_db")
+    assert none.count() == 0
+    assert monitoring.row_count_report(none, ["warehouse"]).first().report == monitoring.NO_TABLES
 
 
 def test_catalog_counts_and_estimates(spark):

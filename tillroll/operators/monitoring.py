@@ -19,6 +19,13 @@ LINE_SUFFIX = "`"
 NO_TABLES = "  • (нет таблиц)"
 
 
+COUNTS_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("table_name", T.StringType()),
+    T.StructField("row_count", T.LongType()),
+])
+
+
 def row_counts(tables: dict[str, DataFrame], source: str) -> DataFrame:
     """(source, table_name, row_count) for each table: exact counts, all in
     one job (a union of global aggregates)."""
@@ -41,17 +48,12 @@ def catalog_tables(spark, database: str | None = None,
 
 def catalog_row_counts(spark, source: str, database: str | None = None) -> DataFrame:
     names = catalog_tables(spark, database)
+    if not names:
+        return spark.createDataFrame([], COUNTS_SCHEMA)
     prefix = f"{database}." if database else ""
     return row_counts({n: spark.read.table(prefix + n) for n in names}, source)
 
 
-COUNTS_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType()),
-    T.StructField("table_name", T.StringType()),
-    T.StructField("row_count", T.LongType()),
-])
-
-
 def estimated_row_counts(spark, source: str, database: str | None = None) -> DataFrame:
     """(source, table_name, row_count) from the catalog's table statistics,
     without reading any data: the count last computed by ``ANALYZE TABLE``,
@@ -78,13 +80,19 @@ def report_line(name: Column, count: Column) -> Column:
                     thousands(F.coalesce(count, F.lit(0))), F.lit(LINE_SUFFIX))
 
 
-def row_count_report(counts: DataFrame) -> DataFrame:
+def row_count_report(counts: DataFrame, sources: list[str] | None = None) -> DataFrame:
     """(source, total_rows, report): one text block per source, tables in name
     order, one line each. Grouped per source, so each group holds one row per
-    table of that source (catalog-sized)."""
+    table of that source (catalog-sized). Every name in ``sources`` gets a
+    row, with the placeholder line when it has no tables."""
+    if sources:
+        spark = counts.sparkSession
+        listed = spark.createDataFrame([(s, None, None) for s in sources], COUNTS_SCHEMA)
+        counts = counts.unionByName(listed)
     grouped = counts.groupBy("source").agg(
         F.sum(F.coalesce(F.col("row_count"), F.lit(0))).alias("total_rows"),
-        F.array_sort(F.collect_list(F.struct("table_name", "row_count"))).alias("_t"),
+        F.array_sort(F.collect_list(F.when(F.col("table_name").isNotNull(),
+                                           F.struct("table_name", "row_count")))).alias("_t"),
     )
     lines = F.array_join(F.transform("_t", lambda t: report_line(t["table_name"],
                                                                  t["row_count"])), "\n")

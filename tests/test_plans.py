@@ -37,3 +37,15 @@ def test_no_python_anywhere(spark, sf_small):
     for name, q in QUERIES.items():
         plan = _initial_plan(q(spark, sf_small))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_cells_exchange_reused_and_rollups_broadcast(spark, sf_small):
+    df = QUERIES["sales_cube"](spark, sf_small)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final
+    # the cells' shuffle is read again by the three roll-ups, not recomputed
+    assert final.count("ReusedExchange") >= 3
+    # dimension roll-ups are small: AQE turns their joins into broadcasts
+    assert final.count("BroadcastHashJoin") >= 3
+    assert "Window" not in final

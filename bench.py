@@ -3,7 +3,8 @@
 Runs each query in ``HEADLINE`` on ``$BENCH_SF_DIR`` (default sf0.1) with
 ``local[$BENCH_CPUS]``: one warm-up pass, then ``$BENCH_REPEATS`` timed
 passes; a query's time is its fastest pass, from building the DataFrame to
-the end of a full execution into the no-op sink. Prints one JSON line.
+the end of a full execution into the no-op sink. Prints one JSON line whose
+``value`` is the flagship query (the sales cube) and ``total_sec`` the sum.
 """
 
 from __future__ import annotations
@@ -50,10 +51,12 @@ def main() -> None:
         run_once(spark, name, sf_dir)
     best = {name: min(run_once(spark, name, sf_dir) for _ in range(repeats)) for name in names}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    flagship = "sales_cube" if "sales_cube" in best else names[0]
     print(json.dumps({
-        "metric": "headline_queries_total",
-        "value": round(sum(best.values()), 3),
+        "metric": f"{flagship}_warm",
+        "value": round(best[flagship], 3),
         "unit": "sec",
+        "total_sec": round(sum(best.values()), 3),
         "queries": {k: round(v, 3) for k, v in best.items()},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,

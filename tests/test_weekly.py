@@ -66,3 +66,15 @@ def test_command_line(spark, capsys):
     main(["--generate", "2000", "--database", "weekly_cli", "--as-of", "2025-02-01"])
     out = capsys.readouterr().out
     assert "`sales`: `2,000`" in out and "sales_aggregated_wh" in out
+
+
+def test_two_stores_report_per_store(spark):
+    raw = generate_sales(spark, 2000, dt.date(2025, 3, 4))
+    rows = {r.source: r for r in run_weekly(spark, raw, "weekly_rs", dt.date(2025, 3, 4),
+                                            warehouse_database="weekly_wh").collect()}
+    assert set(rows) == {"rowstore", "warehouse"}
+    n_cube = spark.read.table("weekly_rs.sales_aggregated").count()
+    assert rows["rowstore"].total_rows == 2000 + n_cube
+    assert rows["warehouse"].total_rows == n_cube
+    assert "sales_aggregated_wh" in rows["warehouse"].report
+    assert "sales_aggregated_wh" not in rows["rowstore"].report

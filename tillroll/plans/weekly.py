@@ -3,8 +3,9 @@
     raw sales -> checks (primary key, region length) -> table ``sales``
               -> cube -> table ``sales_aggregated`` (row-store types)
                       -> table ``sales_aggregated_wh`` (+ import_date,
-                         clustered by sale_year, num_month)
-              -> row counts and report of the database
+                         clustered by sale_year, num_month; may live in
+                         its own warehouse database)
+              -> row counts and report, one row per store
 
 Each step reads the table the previous step wrote, so lineage is cut at
 every table and a lost executor costs at most one step's work. The tables
@@ -14,7 +15,8 @@ that runs this job.
 
 Command line::
 
-    python -m tillroll.plans.weekly --generate 1000000 --database sales_db
+    python -m tillroll.plans.weekly --generate 1000000 --database sales_db \
+        --warehouse-database sales_wh
     python -m tillroll.plans.weekly --csv /shared/raw/sales --database sales_db
 """
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,11 +53,18 @@ def check_raw(raw: DataFrame) -> None:
 
 
 def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
-               import_date: _dt.date | None = None, source: str = "warehouse") -> DataFrame:
-    """Load ``raw`` and rebuild the cube tables. Returns the row-count report
-    with the warehouse cube's latest import day."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+               import_date: _dt.date | None = None,
+               warehouse_database: str | None = None) -> DataFrame:
+    """Load ``raw`` and rebuild the cube tables. The raw and row-store cube
+    tables go to ``database``, the warehouse cube to ``warehouse_database``
+    (default: the same). Returns the row-count report, one row per store
+    ('rowstore', 'warehouse'; one 'warehouse' row when they share a
+    database), with the warehouse cube's latest import day."""
+    wh_database = warehouse_database or database
+    for db in {database, wh_database}:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     name = f"{database}.{{}}".format
+    wh_name = f"{wh_database}.{{}}".format
     check_raw(raw)
     refresh_table(spark, raw, name(SALES_TABLE), ROWSTORE_SALES_TYPES)
 
@@ -66,12 +76,17 @@ def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
 
     stored = spark.read.table(name(CUBE_TABLE))
     warehouse = contracts.warehouse_cube(stored, import_date)
-    refresh_table(spark, warehouse, name(WAREHOUSE_TABLE), cube_types("warehouse"),
+    refresh_table(spark, warehouse, wh_name(WAREHOUSE_TABLE), cube_types("warehouse"),
                   cluster_by=["sale_year", "num_month"])
 
-    counts = monitoring.catalog_row_counts(spark, source, database)
-    latest = monitoring.latest_import(spark.read.table(name(WAREHOUSE_TABLE))).scalar()
-    return monitoring.row_count_report(counts).withColumn("latest_import", latest)
+    if wh_database == database:
+        stores = {"warehouse": database}
+    else:
+        stores = {"rowstore": database, "warehouse": wh_database}
+    counts = reduce(DataFrame.unionByName,
+                    [monitoring.catalog_row_counts(spark, src, db) for src, db in stores.items()])
+    latest = monitoring.latest_import(spark.read.table(wh_name(WAREHOUSE_TABLE))).scalar()
+    return monitoring.row_count_report(counts, list(stores)).withColumn("latest_import", latest)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -84,6 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     group.add_argument("--csv", help="folder of raw sales CSV files with a header")
     group.add_argument("--generate", type=int, help="generate this many raw sales rows")
     parser.add_argument("--database", default="default")
+    parser.add_argument("--warehouse-database", default=None)
     parser.add_argument("--as-of", type=_dt.date.fromisoformat, default=_dt.date.today())
     parser.add_argument("--seed", type=int, default=42)
     args = parser.parse_args(argv)
@@ -91,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName("tillroll-weekly").getOrCreate())
     raw = (read_sales_csv(spark, args.csv) if args.csv
            else generate_sales(spark, args.generate, args.as_of, args.seed))
-    report = run_weekly(spark, raw, args.database, args.as_of)
+    report = run_weekly(spark, raw, args.database, args.as_of, args.warehouse_database)
     for row in report.collect():  # one row per source: a few lines of text
         print(f"import date: {row['latest_import']}")
         print(f"{row['source']} (total rows: {row['total_rows']:,}):\n{row['report']}")

@@ -5,6 +5,8 @@ Runs each query in ``HEADLINE`` on ``$BENCH_SF_DIR`` (default sf0.1) with
 passes; a query's time is its fastest pass, from building the DataFrame to
 the end of a full execution into the no-op sink. Prints one JSON line whose
 ``value`` is the flagship query (the sales cube) and ``total_sec`` the sum.
+``BENCH_EVENT_LOG=<dir>`` writes Spark's event log there for
+``tools/stage_times.py``.
 """
 
 from __future__ import annotations
@@ -46,7 +48,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, shuffle_partitions=cpus)
+    spark = local_session(cpus, shuffle_partitions=cpus,
+                          event_log=os.environ.get("BENCH_EVENT_LOG"))
     for name in names:
         run_once(spark, name, sf_dir)
     best = {name: min(run_once(spark, name, sf_dir) for _ in range(repeats)) for name in names}

@@ -35,9 +35,16 @@ def with_date_parts(sales: DataFrame, date_col: str = "sale_date") -> DataFrame:
 
 
 def cells_with_tenths(sales: DataFrame) -> DataFrame:
-    """Cells with the five measures and the two hidden tenths columns."""
-    keys = [F.expr(f"{e.format(d='sale_date')} AS {n}") for n, e in DATE_PARTS_SQL.items()]
-    sums = sales.groupBy("region", "product_id", *keys).agg(
+    """Cells with the five measures and the two hidden tenths columns.
+
+    Rows are grouped by year and month number; the month name, a function of
+    the month number, is formatted once per cell after the aggregation
+    instead of once per sale (same groups, same values).
+    """
+    sums = sales.groupBy(
+        "region", "product_id",
+        F.expr("year(sale_date) AS sale_year"), F.expr("month(sale_date) AS num_month"),
+    ).agg(
         F.expr(f"sum({cents('sale_amount')}) AS _cents"),
         F.expr("count(sale_amount) AS _n_amount"),
         F.expr("count(sale_date) AS count_sales"),
@@ -45,7 +52,9 @@ def cells_with_tenths(sales: DataFrame) -> DataFrame:
         F.expr("count(quantity) AS _n_quantity"),
     )
     return sums.selectExpr(
-        *CUBE_KEYS,
+        "region", "product_id",
+        "date_format(make_date(sale_year, num_month, 1), 'MMMM') AS sale_month",
+        "num_month", "sale_year",
         f"{tenths(_RECEIPT10)} AS avg_receipt",
         f"{toward_zero(half_up('_cents', '10'), '10')} AS sum_amount",
         "count_sales",

@@ -28,8 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tillroll", scratch: str | None = None) -> SparkSession:
-    """A local session with the UI off and the scratch dirs under ``scratch``."""
+                  app: str = "tillroll", scratch: str | None = None,
+                  event_log: str | None = None) -> SparkSession:
+    """A local session with the UI off and the scratch dirs under ``scratch``;
+    ``event_log`` names a folder for Spark's event log (stage and task times)."""
     scratch = scratch or tempfile.mkdtemp(prefix="tillroll-")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -42,6 +44,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true") \
+            .config("spark.eventLog.dir", event_log)
     for key, value in SQL_OPTIONS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

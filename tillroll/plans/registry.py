@@ -121,8 +121,9 @@ QUERIES: dict[str, Query] = {
     "sales_cube": lambda s, d: _cube(s, d),
     # 2. its parts
     "sales_fact": lambda s, d: sales_fact(s, d),
-    "date_parts": lambda s, d: sales_fact(s, d).select(
-        "sale_date", *[e.alias(n) for n, e in date_parts("sale_date").items()]).distinct(),
+    # distinct days first, then the parts of each day (not of each sale)
+    "date_parts": lambda s, d: sales_fact(s, d).select("sale_date").distinct().select(
+        "sale_date", *[e.alias(n) for n, e in date_parts("sale_date").items()]),
     "dedup_full_row": lambda s, d: dedup_full_row(
         sales_fact(s, d).unionAll(sales_fact(s, d))),
     "cell_aggregate": lambda s, d: cell_aggregate(dedup_full_row(sales_fact(s, d))),

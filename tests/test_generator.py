@@ -44,3 +44,21 @@ def test_price_tiers(spark):
     assert all(100 <= prices[p] < 3000 for p in range(1, 21))
     assert all(10000 <= prices[p] < 50000 for p in range(21, 51))
     assert all(100000 <= prices[p] < 500000 for p in range(51, 71))
+
+
+def test_multiplier_is_coprime_for_any_total():
+    import math
+
+    from tillroll.sources.generator import PERMUTE_A, multiplier
+    assert multiplier(1_000_000) == PERMUTE_A
+    for total in (PERMUTE_A, PERMUTE_A * 2, PERMUTE_A * 3 * (PERMUTE_A + 2)):
+        a = multiplier(total)
+        assert math.gcd(a, total) == 1 and a != PERMUTE_A
+
+
+def test_small_n_covers_every_id_once(spark):
+    # a changed multiplier needs a total of at least 7,368,787 rows; the
+    # bijection itself only needs gcd(A, total) = 1, checked above
+    from tillroll.sources.generator import quotas
+    g = generate_sales(spark, 20, AS_OF, num_partitions=3)
+    assert sorted(r.sale_id for r in g.collect()) == list(range(1, sum(quotas(20)) + 1))

@@ -50,6 +50,16 @@ PERMUTE_A = 7368787
 PERMUTE_B = 12345
 
 
+def multiplier(total: int) -> int:
+    """PERMUTE_A, or the next odd number coprime with ``total`` when ``total``
+    shares a factor with it: ``id -> (id * A + B) mod total`` must be a
+    bijection."""
+    a = PERMUTE_A
+    while math.gcd(a, total) != 1:
+        a += 2
+    return a
+
+
 def quotas(n: int) -> list[int]:
     return [n * weight // 100 for _, weight, _, _ in REGIONS]
 
@@ -84,8 +94,7 @@ def generate_sales(spark: SparkSession, n: int, as_of: _dt.date, seed: int = 42,
     total = sum(sizes)
     if total == 0:
         raise ValueError("n too small for the regional quotas")
-    if math.gcd(PERMUTE_A, total) != 1:
-        raise ValueError(f"permutation multiplier is not coprime with {total}")
+    a = multiplier(total)
 
     # Bounded tasks: a lost task regenerates at most ROWS_PER_PARTITION rows.
     if num_partitions is None:
@@ -94,9 +103,9 @@ def generate_sales(spark: SparkSession, n: int, as_of: _dt.date, seed: int = 42,
     ids = spark.range(0, total, numPartitions=num_partitions)
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")))
     # id * A + B must stay exact: bigint while it fits, decimal beyond.
-    ident = F.col("id") if total * PERMUTE_A + PERMUTE_B < 2 ** 63 \
+    ident = F.col("id") if total * a + PERMUTE_B < 2 ** 63 \
         else F.col("id").cast("decimal(38,0)")
-    k = ((ident * PERMUTE_A + PERMUTE_B) % total).cast("bigint")
+    k = ((ident * a + PERMUTE_B) % total).cast("bigint")
 
     region = product = quantity = None
     bound = 0

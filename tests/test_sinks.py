@@ -79,3 +79,14 @@ def test_refresh_from_itself_and_failed_write_keeps_table(spark):
     except Exception:
         pass
     assert sorted(r.k for r in spark.read.table(t).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_read_sales_formats(spark, tmp_path):
+    g = generate_sales(spark, 1000, dt.date(2025, 1, 10))
+    g.write.mode("overwrite").orc(str(tmp_path / "orc"))
+    assert read_sales(spark, str(tmp_path / "orc"), fmt="orc").exceptAll(g).count() == 0
+    spark.sql("CREATE DATABASE IF NOT EXISTS read_t")
+    g.write.mode("overwrite").saveAsTable("read_t.raw")
+    assert read_sales(spark, "read_t.raw", fmt="table").count() == g.count()
+    write_sales_csv(g, str(tmp_path / "csv"))
+    assert read_sales(spark, str(tmp_path / "csv"), fmt="csv").count() == g.count()

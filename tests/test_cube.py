@@ -146,3 +146,12 @@ def test_empty_input(spark):
     cube = sales_cube(df)
     assert cube.columns == CUBE_COLUMNS
     assert cube.count() == 0
+
+
+def test_checkpointed_cells_same_cube(spark, sf_small):
+    fact = sales_fact(spark, sf_small)
+    plain = sales_cube(fact)
+    cut = sales_cube(fact, checkpoint_cells=True)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Join" in plan and "lineitem" not in plan
+    assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0

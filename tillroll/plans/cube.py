@@ -10,16 +10,25 @@ from tillroll.operators.rollups import add_rollups
 from tillroll.schemas import CELL_MEASURES, CUBE_COLUMNS, CUBE_KEYS, DIMENSIONS, rollup_columns
 
 
-def sales_cube(sales: DataFrame, dims: list[str] | None = None, dedup: bool = True) -> DataFrame:
+def sales_cube(sales: DataFrame, dims: list[str] | None = None, dedup: bool = True,
+               checkpoint_cells: bool = False) -> DataFrame:
     """The cube of the weekly job, in the stored column order.
 
     ``dims`` limits the roll-ups to the dimensions a caller needs (the top-k
     queries need only ``product_id``); the default builds all three.
     ``dedup=False`` is for inputs whose primary key was enforced on write.
+    ``checkpoint_cells=True`` writes the cells to the session's checkpoint
+    folder (``spark.checkpoint.dir``, shared storage on a cluster) before the
+    roll-ups read them: for very large cubes (e.g. one product per part), a
+    lost executor then costs a re-read of the cells, not a re-run of the
+    de-duplication. It runs one job when called.
     """
     dims = list(DIMENSIONS) if dims is None else dims
     rows = dedup_full_row(sales) if dedup else sales
-    cube = add_rollups(cells_with_tenths(rows), dims)
+    cells = cells_with_tenths(rows)
+    if checkpoint_cells:
+        cells = cells.checkpoint(eager=True)
+    cube = add_rollups(cells, dims)
     columns = CUBE_KEYS + CELL_MEASURES + [c for d in DIMENSIONS if d in dims
                                            for c in rollup_columns(d)]
     assert set(columns) <= set(CUBE_COLUMNS)

@@ -54,12 +54,14 @@ def check_raw(raw: DataFrame) -> None:
 
 def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
                import_date: _dt.date | None = None,
-               warehouse_database: str | None = None) -> DataFrame:
+               warehouse_database: str | None = None,
+               checkpoint_cells: bool = False) -> DataFrame:
     """Load ``raw`` and rebuild the cube tables. The raw and row-store cube
     tables go to ``database``, the warehouse cube to ``warehouse_database``
     (default: the same). Returns the row-count report, one row per store
     ('rowstore', 'warehouse'; one 'warehouse' row when they share a
-    database), with the warehouse cube's latest import day."""
+    database), with the warehouse cube's latest import day.
+    ``checkpoint_cells`` is passed to ``sales_cube`` (for very large cubes)."""
     wh_database = warehouse_database or database
     for db in {database, wh_database}:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
@@ -71,7 +73,8 @@ def run_weekly(spark: SparkSession, raw: DataFrame, database: str = "default",
     # The key was checked: no two rows are equal, so the full-row
     # de-duplication (a shuffle of every column) is skipped; the key check
     # shuffled one column.
-    cube = sales_cube(spark.read.table(name(SALES_TABLE)), dedup=False)
+    cube = sales_cube(spark.read.table(name(SALES_TABLE)), dedup=False,
+                      checkpoint_cells=checkpoint_cells)
     refresh_table(spark, cube, name(CUBE_TABLE), cube_types("rowstore"))
 
     stored = spark.read.table(name(CUBE_TABLE))

@@ -43,6 +43,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
         .config("spark.local.dir", os.path.join(scratch, "local"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # many distinct plans in one session: keep their generated code
+        .config("spark.sql.codegen.cache.maxEntries", "1000")
     )
     if event_log:
         builder = builder.config("spark.eventLog.enabled", "true") \

@@ -1,4 +1,38 @@
 """tillroll: the retail sales cube, its top-k queries, load contracts and
-row-count reports as distributed Spark DataFrame jobs."""
+row-count reports as distributed Spark DataFrame jobs.
+
+The main entry points, importable from the package root::
+
+    from tillroll import sales_cube, top_products, run_weekly
+"""
 
 __version__ = "0.1.0"
+
+from tillroll.operators.contracts import (  # noqa: E402,F401
+    pk_violations, rowstore_cube, sales_contract, warehouse_cube,
+)
+from tillroll.operators.monitoring import (  # noqa: E402,F401
+    catalog_row_counts, estimated_row_counts, row_count_report, row_counts,
+)
+from tillroll.operators.presentation import (  # noqa: E402,F401
+    chart_labels, dashboard_period, dashboard_product, dashboard_query, dashboard_region,
+)
+from tillroll.operators.topk import (  # noqa: E402,F401
+    top_products, top_products_from_cells, top_products_sql,
+)
+from tillroll.plans.cube import sales_cube  # noqa: E402,F401
+from tillroll.plans.weekly import run_weekly  # noqa: E402,F401
+from tillroll.session import configure  # noqa: E402,F401
+from tillroll.sources import generate_sales, read_jdbc, read_sales, read_sales_csv  # noqa: E402,F401
+from tillroll.sources.sinks import (  # noqa: E402,F401
+    refresh_table, write_jdbc, write_parquet, write_sales_csv,
+)
+
+__all__ = [
+    "configure", "read_sales", "read_sales_csv", "read_jdbc", "generate_sales",
+    "sales_cube", "top_products", "top_products_from_cells", "top_products_sql",
+    "chart_labels", "dashboard_region", "dashboard_product", "dashboard_period",
+    "dashboard_query", "sales_contract", "rowstore_cube", "warehouse_cube", "pk_violations",
+    "row_counts", "catalog_row_counts", "estimated_row_counts", "row_count_report",
+    "write_sales_csv", "write_parquet", "refresh_table", "write_jdbc", "run_weekly",
+]

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillroll.operators.cells import cells_with_tenths
+from tillroll.operators.cells import HIDDEN, cells_with_tenths
 from tillroll.operators.dedup import dedup_full_row
 from tillroll.operators.rollups import add_rollups
-from tillroll.schemas import CELL_MEASURES, CUBE_COLUMNS, CUBE_KEYS, DIMENSIONS, rollup_columns
+from tillroll.schemas import CELL_MEASURES, CUBE_KEYS, DIMENSIONS, rollup_columns
 
 
 def sales_cube(sales: DataFrame, dims: list[str] | None = None, dedup: bool = True,
@@ -28,8 +28,8 @@ def sales_cube(sales: DataFrame, dims: list[str] | None = None, dedup: bool = Tr
     cells = cells_with_tenths(rows)
     if checkpoint_cells:
         cells = cells.checkpoint(eager=True)
-    cube = add_rollups(cells, dims)
+    cube = add_rollups(cells, [d for d in DIMENSIONS if d in dims]).drop(*HIDDEN)
     columns = CUBE_KEYS + CELL_MEASURES + [c for d in DIMENSIONS if d in dims
                                            for c in rollup_columns(d)]
-    assert set(columns) <= set(CUBE_COLUMNS)
-    return cube.select(*columns)
+    # the joins append each roll-up in dimension order: already the stored order
+    return cube if cube.columns == columns else cube.select(*columns)

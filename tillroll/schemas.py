@@ -25,6 +25,7 @@ DIMENSIONS = {
 
 
 def rollup_columns(dim: str) -> list[str]:
+    """The five roll-up column names of a dimension, e.g. ``sum_amount_region``."""
     return [f"{m}_{dim}" for m in CELL_MEASURES]
 
 
@@ -62,6 +63,7 @@ ROWSTORE_SALES_TYPES = {
 
 
 def _measure_type(measure: str, store: str) -> str:
+    """Store type of a cell measure and of its roll-ups."""
     if measure == "avg_receipt":
         return "decimal(12,1)" if store == "rowstore" else "double"
     if measure == "avg_receipt_quantity":
@@ -85,4 +87,5 @@ def cube_types(store: str) -> dict[str, str]:
 
 
 def ddl(types: dict[str, str]) -> str:
+    """Column list of a CREATE / ALTER TABLE statement: ``name type, ...``."""
     return ", ".join(f"{c} {t}" for c, t in types.items())

@@ -94,7 +94,17 @@ def test_one_pass_form_equals_cube_form(spark, sf_small):
 
 
 def test_default_day_is_today(spark):
-    today = dt.date.today()
+    today = spark.range(1).select(F.current_date()).first()[0]  # the session's today
     cube = sales_cube(_sales(spark, [(1, 1, today, 3.0), (2, 1, today.replace(day=1), 5.0)]),
                       ["product_id"])
     assert [r.product_id for r in top_products(cube, "amount", None).collect()] == [2, 1]
+
+
+def test_sql_form_defaults_to_today(spark):
+    from tillroll.operators.topk import top_products_sql
+    today = spark.range(1).select(F.current_date()).first()[0]
+    cube = sales_cube(_sales(spark, [(1, 1, today, 3.0), (2, 1, today.replace(day=1), 5.0)]))
+    cube.createOrReplaceTempView("topk_today_cube")
+    got = top_products_sql(spark, "topk_today_cube", "amount").collect()
+    assert [r.product_id for r in got] == [2, 1]
+    assert [tuple(r) for r in got] == [tuple(r) for r in top_products(cube, "amount", None).collect()]

@@ -84,15 +84,18 @@ LIMIT {k}
 """
 
 
-def top_products_sql(spark: SparkSession, cube_table: str, metric: str, as_of,
+def top_products_sql(spark: SparkSession, cube_table: str, metric: str, as_of=None,
                      months: int = 0, k: int = 10, shift_year: bool = False) -> DataFrame:
-    """``top_products`` over a stored cube, written as SQL."""
+    """``top_products`` over a stored cube, written as SQL (``as_of=None``:
+    the session's ``current_date()``)."""
     column, alias = METRICS[metric]
-    target = f"add_months(:as_of, -{int(months)})"
-    sql = TOP_SQL.format(column=column, alias=alias, target=target, k=int(k),
-                         year_of=target if shift_year else ":as_of")
+    args = {"cube": cube_table}
     if as_of is None:
-        day = _dt.date.today()
+        day = "current_date()"
     else:
-        day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(as_of)
-    return spark.sql(sql, args={"cube": cube_table, "as_of": day})
+        day = ":as_of"
+        args["as_of"] = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(as_of)
+    target = f"add_months({day}, -{int(months)})"
+    sql = TOP_SQL.format(column=column, alias=alias, target=target, k=int(k),
+                         year_of=target if shift_year else day)
+    return spark.sql(sql, args=args)

@@ -87,9 +87,13 @@ def price_list(spark: SparkSession, seed: int = 42) -> DataFrame:
         pid.alias("product_id"), cents.cast("bigint").alias("price_cents"))
 
 
-def generate_sales(spark: SparkSession, n: int, as_of: _dt.date, seed: int = 42,
+def generate_sales(spark: SparkSession, n: int, as_of: _dt.date | str, seed: int = 42,
                    num_partitions: int | None = None) -> DataFrame:
-    """Raw sales rows in the 8-column layout; amounts as decimal(12,2)."""
+    """Raw sales rows in the 8-column layout; amounts as decimal(12,2).
+    ``as_of`` (a date or 'YYYY-MM-DD') is the run day: sales fall on the 364
+    days from ``as_of - 365``."""
+    if isinstance(as_of, str):
+        as_of = _dt.date.fromisoformat(as_of)
     sizes = quotas(n)
     total = sum(sizes)
     if total == 0:

@@ -4,15 +4,29 @@ parameters, whole tables."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import quality
+from tillroll.llm import quality, simhash, toxicity
 from tillroll.llm.common import table
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted",
+                        F.size("offending").alias("n_offending"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

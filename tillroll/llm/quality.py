@@ -62,9 +62,10 @@ def repeated_words(words: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(
             F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
 
-    return F.when(F.size(words) < 3, F.lit(0).cast("long")).otherwise(
-        let(windows(words), lambda h: F.when(
-            F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h))))
+    # let: the optimiser may put the words' expression wherever their column stands
+    return let(words, lambda w: F.when(F.size(w) < 3, F.lit(0).cast("long")).otherwise(
+        let(windows(w), lambda h: F.when(
+            F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(covered(h)))))
 
 
 def lines_of(text: Column) -> Column:
@@ -157,9 +158,11 @@ def keep_good(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: int =
     poor = stored(depleted(docs, **limits), "depleted").select(
         F.col("host").alias("_host"), F.col("content").alias("_content"))
     t = F.coalesce(F.col("text"), F.lit(""))
-    good = docs.withColumn("_words", words_of(t)).where(F.size("_words") >= min_words).where(
-        100 * repeated_words(F.col("_words")) <= max_repeat_pct * F.size("_words"))
-    good = good.withColumns({"_h": F.coalesce(F.col("source").cast("string"), F.lit("")),
-                             "_c": F.unhex(F.md5(t.cast("binary")))})
-    return good.join(poor, (F.col("_h") == F.col("_host")) & (F.col("_c") == F.col("_content")),
-                     "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), let(words_of(t), lambda w: (
+                           F.size(w) >= min_words) & (
+                           100 * repeated_words(w) <= max_repeat_pct * F.size(w))).alias("good"),
+                       F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
+                       F.unhex(F.md5(t.cast("binary"))).alias("content"))
+    return rows.where("good").join(
+        poor, (F.col("host") == F.col("_host")) & (F.col("content") == F.col("_content")),
+        "left_anti").select("row.*")

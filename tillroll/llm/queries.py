@@ -6,10 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality, simhash, toxicity
+from tillroll.llm import bpe, mixing, quality, simhash, token_counts, toxicity
 from tillroll.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted",
@@ -20,13 +28,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op8_mixing": op8_mixing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

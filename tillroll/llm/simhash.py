@@ -275,12 +275,12 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     best = groups.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("b"))
     best = stored(best.select(_row_key(F.col("b.doc_id"), F.col("b.fp")).alias("__key")), "keepers")
-    keyed = docs.withColumn("__key", _row_key(
-        F.col("doc_id"), fingerprint_column(F.col("text"), width)))
+    rows = docs.select(F.struct("*").alias("row"), _row_key(
+        F.col("doc_id"), fingerprint_column(F.col("text"), width)).alias("__key"))
     ties = Window.partitionBy("__key").orderBy(*(
-        F.col(f.name) for f in docs.schema if isinstance(f.dataType, T.AtomicType)))
-    return keyed.join(best, "__key").withColumn("__n", F.row_number().over(ties)).where(
-        "__n = 1").select(*docs.columns)
+        F.col("row").getField(f.name) for f in docs.schema if isinstance(f.dataType, T.AtomicType)))
+    return rows.join(best, "__key").withColumn("n", F.row_number().over(ties)).where("n = 1").select(
+        "row.*")
 
 
 def _row_key(doc_id: Column, fp: Column) -> Column:

@@ -61,3 +61,22 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 def hash60(text: Column) -> Column:
     """60 bits of a text's md5 as a long (the same in any SQL engine)."""
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+class WordCache(dict):
+    """Results of ``compute`` for the keys met lately, at most twice ``size`` of them: when
+    ``size`` are held they become the older half, from which a hit takes its key back."""
+
+    def __init__(self, compute: Callable, size: int):
+        super().__init__()
+        self.compute, self.size, self.older = compute, size, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value

@@ -6,7 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, mixing, quality, simhash, token_counts, toxicity
+from tillroll.llm import (
+    bpe,
+    embedding_dedup,
+    html_text,
+    language,
+    lm_scoring,
+    mixing,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+)
 from tillroll.llm.common import table
 
 
@@ -14,6 +25,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents")))
 
@@ -24,6 +39,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("offending").alias("n_offending"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -33,6 +57,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "fingerprint", "component_id")
@@ -40,9 +68,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_language_id": op5_language_id,
+    "op6_html_extraction": op6_html_extraction,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

@@ -10,9 +10,8 @@ determine every arc: the state behind p has an arc t if undoing the younger of
 both, again and again, meets no cut that was made before. Arcs are derived on first use and
 kept in a bounded table. A rule whose path does not exist at its time makes no arc.
 
-Each byte string has one accepted path, so a word is encoded from left to right: the
-path to each place ends in the one token whose arc leaves the state at its start.
-Decoding joins the labels of the arcs.
+Each byte string has one accepted path. A word is encoded by following the arcs from
+the start, longest label first, and going back where no arc leads on. Decoding joins the labels of the arcs.
 
 Cases: a null text counts as empty (no tokens); special strings in a text become
 their own ids, as in the library's default; null and repeated ids and repeated rows keep
@@ -31,10 +30,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import slices
+from tillroll.llm.common import WordCache, slices
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHE_WORDS, CACHE_ARCS = 100_000, 500_000
+CACHE_WORDS, CACHE_ARCS = 250_000, 500_000
 #: Fixed value: how byte-level BPE splits a text into words.
 SPLIT = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -100,43 +99,34 @@ class Automaton:
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        whole = self.token.get(word)
-        if whole is not None:
-            return [whole]
-        token, arc = self.token.get, self.has_arc
-        state, start = [START], [0]  # of the path to each place
-        for end in range(1, len(word) + 1):
-            for begin in range(max(0, end - self.longest), end):
-                t = token(word[begin:end])
-                if t is not None and arc(state[begin], t):
-                    state.append(t)
-                    start.append(begin)
-                    break
-        ids, end = [], len(word)
-        while end:
-            ids.append(state[end])
-            end = start[end]
-        return ids[::-1]
+        """The accepted path that spells the word. Arcs are tried from the longest; a place
+        that was reached and has no way on is never tried again, because only one path
+        leads to a place."""
+        token, arcs, arc = self.token.get, self.arcs.get, self.has_arc
+        n, longest, dead = len(word), self.longest, set()
+        path, at, state = [], 0, START
+        size = min(n, longest)
+        while at < n:
+            while size:
+                t = token(word[at:at + size])
+                if t is not None and at + size not in dead:
+                    step = (state, t)
+                    if arcs(step) or (step not in self.arcs and arc(*step)):
+                        break
+                size -= 1
+            if size:
+                path.append(t)
+                at, state, size = at + size, t, min(n - at - size, longest)
+            else:
+                dead.add(at)
+                back = len(self.labels[path.pop()])
+                at, state, size = at - back, path[-1] if path else START, back - 1
+        return path
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.labels.__getitem__, ids))
 
 
-class _Words(dict):
-    """Words met so far with their ids as int32 bytes; starts anew at ``CACHE_WORDS``."""
-
-    def __init__(self, automaton: Automaton):
-        super().__init__()
-        self.automaton = automaton
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        ids = self.automaton.encode_word(word.encode())
-        value = self[word] = np.array(ids, np.int32).tobytes()
-        return value
-
-
 class Tokenizer:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -144,11 +134,14 @@ class Tokenizer:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         model = spec["model"]
         self.automaton = Automaton(model["vocab"], model["merges"], special)
-        self.words = _Words(self.automaton)
+        self.words = WordCache(self._word, CACHE_WORDS)
         longest_first = sorted(special, key=len, reverse=True)
         self.cuts = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") \
             if special else None
 
+    def _word(self, word: str) -> bytes:
+        return np.array(self.automaton.encode_word(word.encode()), np.int32).tobytes()
+
     def encode(self, text: str) -> np.ndarray:
         find, ids = self.words.__getitem__, []
         for i, part in enumerate(self.cuts.split(text) if self.cuts else [text]):

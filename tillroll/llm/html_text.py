@@ -7,7 +7,8 @@ only text inside one counts. What is left is cut into blocks at block tags; refe
 decoded, white space becomes one space.
 
 Host suffix array. The blocks of a host's distinct pages are token streams. Pages are
-dealt, by a hash of their text, into groups of about ``GROUP_PAGES`` pages of one host;
+dealt, by a hash of the row, into groups of about ``GROUP_PAGES`` pages of one host, where
+one row stands for all copies of a text;
 each group's streams are concatenated and their suffixes sorted (prefix doubling up to
 ``RUN`` tokens), so equal runs of ``RUN`` tokens are neighbours. Runs that stand on at least
 ``SHARE`` of a group's pages are candidates: what has that share of the host has it in
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import slices, stored
@@ -155,6 +156,7 @@ def repeated_runs(texts: list[str]) -> pd.DataFrame:
     none = pd.DataFrame({"run": np.zeros(0, np.int64), "pages": np.zeros(0, np.int64)})
     if len(tokens) < RUN:
         return none
+    # RUN is a power of two
     width, rank = 1, np.unique(tokens, return_inverse=True)[1]
     while width < RUN:  # ranks by twice as many tokens
         pair = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
@@ -200,52 +202,67 @@ def without_runs(text: str, runs: np.ndarray) -> str:
 def host_boilerplate(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES,
                      group_pages: int = GROUP_PAGES) -> DataFrame:
     """(host, runs): hashes of the runs on at least ``share`` of the host's distinct pages."""
-    texts = pages.where("text <> ''").select("host", "text").distinct()
-    sizes = texts.groupBy("host").agg(F.count("*").alias("host_pages")).where(
-        F.col("host_pages") >= min_pages)
-    sizes = stored(sizes, "host-pages")
-    grouped = texts.join(sizes, "host").withColumn("part", F.expr(
-        f"pmod(xxhash64(text), ceil(host_pages / {group_pages}))")).select("host", "part", "text")
-
-    def candidates(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_runs(rows["text"].tolist())
-        found = found[found["pages"] >= share * len(rows)]
+    rows = pages.where("text <> ''").select("host", "text", _row_key().alias("key"))
+    firsts = stored(rows.groupBy("host", F.md5(F.col("text").cast("binary")).alias("content")).agg(
+        F.min("key").alias("key"), F.count("*").alias("copies")), "distinct-pages")
+    sizes = stored(firsts.groupBy("host").agg(
+        F.count("*").alias("host_pages"), F.ceil(F.sum("copies") / group_pages).alias("parts")).where(
+        F.col("host_pages") >= min_pages), "host-pages")
+    part = F.expr("pmod(key, parts)").alias("part")
+    grouped = rows.join(sizes, "host").select("host", part, "key", "text")
+    dealt = firsts.join(sizes, "host").select("host", part, "key")
+
+    def distinct(pages: pd.DataFrame, firsts: pd.DataFrame) -> list[str]:
+        """Texts of the group's pages that stand for their copies in the whole host."""
+        return pages[pages["key"].isin(firsts["key"])]["text"].drop_duplicates().tolist()
+
+    def candidates(key: tuple, pages: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
+        texts = distinct(pages, firsts)
+        found = repeated_runs(texts)
+        found = found[found["pages"] >= share * len(texts)]
         return pd.DataFrame({"host": key[0], "run": found["run"]})
 
-    some = stored(grouped.groupBy("host", "part").applyInPandas(
+    some = stored(grouped.groupBy("host", "part").cogroup(dealt.groupBy("host", "part")).applyInPandas(
         candidates, "host string, run long").distinct(), "run-candidates")
-
-    def count(key: tuple, rows: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_runs(rows["text"].tolist()) if len(runs) else runs.assign(pages=1)[:0]
-        once = runs[["run"]].merge(found, "left", on="run")
-        single = _single_pages(rows["text"].tolist(), once[once["pages"].isna()]["run"].to_numpy())
-        once["pages"] = once["pages"].fillna(once["run"].map(single)).fillna(0).astype("int64")
-        return pd.DataFrame({"host": key[0], "run": once["run"], "pages": once["pages"]})
-
-    parts = sizes.join(some, "host").select("host", "run", F.explode(F.expr(
-        f"sequence(0L, ceil(host_pages / {group_pages}) - 1)")).alias("part"))
     if some.isEmpty():  # nothing to count
         return some.select("host", F.array("run").alias("runs"))
-    counted = grouped.groupBy("host", "part").cogroup(parts.groupBy("host", "part")).applyInPandas(
+
+    def count(key: tuple, pages: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        texts = distinct(pages, asked[~asked["is_run"]])
+        return pd.DataFrame({"host": key[0], **pages_with(
+            texts, asked[asked["is_run"]]["key"].to_numpy())})
+
+    # one long column without nulls: pandas would turn them into floats
+    asked = sizes.join(some, "host").select("host", F.explode(F.expr("sequence(0L, parts - 1)")).alias(
+        "part"), F.col("run").alias("key"), F.lit(True).alias("is_run")).union(
+        dealt.select("host", "part", "key", F.lit(False)))
+    counted = grouped.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(
         count, "host string, run long, pages long")
     return counted.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(sizes, "host").where(
         (F.col("pages") >= min_pages) & (F.col("pages") >= share * F.col("host_pages"))).groupBy(
         "host").agg(F.collect_set("run").alias("runs"))
 
 
-def _single_pages(texts: list[str], runs: np.ndarray) -> dict[int, int]:
-    """Runs that stand on one page only of the group."""
-    if not len(runs):
-        return {}
+def pages_with(texts: list[str], runs: np.ndarray) -> dict[str, np.ndarray]:
+    """How many of the texts hold each of the runs."""
     tokens, page = _streams(texts)
     at = np.arange(max(0, len(tokens) - RUN + 1))
-    at = at[page[at] == page[at + RUN - 1]] if len(at) else at
-    return dict.fromkeys(np.intersect1d(_run_hashes(tokens, at), runs).tolist(), 1)
+    at = at[page[at] == page[at + RUN - 1]]
+    hashes = _run_hashes(tokens, at)
+    wanted = np.isin(hashes, runs)
+    pairs = np.unique(np.stack([hashes[wanted], page[at][wanted]]), axis=1)
+    run, n = np.unique(pairs[0], return_counts=True)
+    return {"run": run, "pages": n.astype(np.int64)}
+
+
+def _row_key() -> Column:
+    """The same number whenever a row is parsed anew; equal rows may share it."""
+    return F.xxhash64("page_id", "url", "text")
 
 
 def main_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
-    rows = stored(parsed(pages), "parsed-pages")
+    rows = parsed(pages)  # parsed anew in each pass: cheaper than a second copy of the texts
     boilerplate = stored(host_boilerplate(rows, share, min_pages), "boilerplate-runs")
 
     @F.arrow_udf("string")

@@ -57,22 +57,23 @@ def grams_of(word: str) -> list[str]:
 
 
 class Model:
-    """Learned languages and the score of each n-gram in each of them."""
+    """Learned languages and the score of each n-gram in each of them: ``scores`` has a
+    row for each of ``grams`` and a last one for n-grams that weren't kept."""
 
-    def __init__(self, languages: list[str], grams: dict[str, np.ndarray], unseen: np.ndarray,
+    def __init__(self, languages: list[str], grams: list[str], scores: np.ndarray,
                  scripts: dict[str, np.ndarray]):
-        self.languages, self.grams, self.unseen, self.scripts = languages, grams, unseen, scripts
+        self.languages, self.grams, self.scores, self.scripts = languages, grams, scores, scripts
+        self.number = {g: i for i, g in enumerate(grams)}
         self.words = WordCache(self._score, CACHE_WORDS)
 
     def __reduce__(self):
-        return Model, (self.languages, self.grams, self.unseen, self.scripts)
+        return Model, (self.languages, self.grams, self.scores, self.scripts)
 
     def _score(self, word: str) -> bytes:
-        get, total = self.grams.get, np.zeros(len(self.languages))
-        grams = grams_of(word)
-        for g in grams:
-            total += get(g, self.unseen)
-        total *= (len(word) + 1) / len(grams)  # the n-grams overlap: one part a letter
+        get, last = self.number.get, len(self.grams)
+        rows = [get(g, last) for g in grams_of(word)]
+        # the n-grams overlap: one part a letter
+        total = self.scores.take(rows, axis=0).sum(axis=0) * ((len(word) + 1) / len(rows))
         allowed = self.scripts.get(script_of(word))
         if allowed is not None and not allowed.all():
             total = np.where(allowed, total, total.min() - OTHER_SCRIPT)
@@ -167,8 +168,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, n_grams: int = GRAMS) ->
     for r in scripts:
         seen[r["gram"]][number[r["lang"]]] = r["n"]
     by_language = sum(seen.values(), np.zeros(len(languages)))
-    return Model(languages, {g: np.log((n + ALPHA) / total) for g, n in table.items()},
-                 np.log(ALPHA / total), {s: n > SCRIPT_SHARE * by_language for s, n in seen.items()})
+    scores = np.log((np.array([*table.values(), np.zeros(len(languages))]) + ALPHA) / total)
+    return Model(languages, list(table), scores, {s: n > SCRIPT_SHARE * by_language for s, n in seen.items()})
 
 
 def languages(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:

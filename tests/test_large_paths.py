@@ -3,7 +3,7 @@ same results through sort-merge joins."""
 
 from pyspark.sql import functions as F
 
-from tillroll.operators.lookup import fits, lookup
+from tillroll.operators.lookup import lookup
 from tillroll.plans.registry import QUERIES
 from tillroll.sources.testdata import table
 
@@ -44,16 +44,15 @@ def test_cube_without_broadcast(spark, sf_small):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
-def test_lookup_past_the_bound(spark, sf_small):
+def test_lookup_with_and_without_broadcast(spark, sf_small):
     lines = table(spark, sf_small, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     parts = table(spark, sf_small, "part").select("p_partkey", "p_retailprice")
     on = F.col("l_partkey") == F.col("p_partkey")
-    n_parts = parts.count()
-    assert fits(parts, n_parts) and not fits(parts, n_parts - 1)
-    small = lookup(lines, parts, on, max_broadcast_rows=n_parts)
-    large = lookup(lines, parts, on, max_broadcast_rows=n_parts - 1)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().sparkPlan().toString()
-    assert _rows(small) == _rows(large)
+    small = lookup(lines, parts, on)
+    plan = small._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SinglePartition" not in plan
+    large = _without_broadcast(spark, lambda: _rows(lookup(lines, parts, on)))
+    assert _rows(small) == large
     # a key missing from the dimension gives nulls, not a lost row
     missing = lookup(lines, parts.where("p_partkey > 10"), on)
     assert missing.count() == lines.count()

@@ -19,7 +19,7 @@ def test_null_counts_add_zero_and_empty_placeholder(spark):
         [("x", "t1", None), ("x", "t2", 7)], "source string, table_name string, row_count bigint")
     rep = monitoring.row_count_report(counts).first()
     assert rep.total_rows == 7
-    assert rep.report == "  • `t1`: `0`\n  • `t2`: `7`"
+    assert rep.report == "  • `t1`: `unknown`\n  • `t2`: `7`"
     both = {r.source: r for r in monitoring.row_count_report(counts, ["x", "y"]).collect()}
     assert both["x"].report == rep.report
     assert both["y"].report == monitoring.NO_TABLES and both["y"].total_rows == 0
@@ -56,4 +56,4 @@ def test_estimated_counts(spark):
            for r in monitoring.estimated_row_counts(spark, "stats", "est_t").collect()}
     assert est == {"analysed": 42, "fresh": None}
     rep = monitoring.row_count_report(monitoring.estimated_row_counts(spark, "stats", "est_t"))
-    assert rep.first().report == "  • `analysed`: `42`\n  • `fresh`: `0`"
+    assert rep.first().report == "  • `analysed`: `42`\n  • `fresh`: `unknown`"

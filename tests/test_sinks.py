@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.schemas import SALES_COLUMNS, cube_types
@@ -90,3 +91,54 @@ def test_read_sales_formats(spark, tmp_path):
     assert read_sales(spark, "read_t.raw", fmt="table").count() == g.count()
     write_sales_csv(g, str(tmp_path / "csv"))
     assert read_sales(spark, str(tmp_path / "csv"), fmt="csv").count() == g.count()
+
+
+def test_refresh_stopped_at_any_step_keeps_rows(spark, monkeypatch):
+    from tillroll.sources import sinks
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks_stop")
+    t, types = "sinks_stop.nums", {"k": "bigint"}
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    rows = lambda n: spark.range(n).selectExpr("id AS k")
+    stored = lambda: spark.read.table(t).count()
+    refresh_table(spark, rows(5), t, types)
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    for step, left in (("_switch", 5), ("_remove", 7)):  # before and after the switch
+        with monkeypatch.context() as m:
+            m.setattr(sinks, step, stop)
+            with pytest.raises(KeyboardInterrupt):
+                refresh_table(spark, rows(7), t, types)
+        assert stored() == left
+        refresh_table(spark, rows(left), t, types)  # the next run goes on
+        assert stored() == left
+    with pytest.raises(ValueError):  # a failed check after the write
+        refresh_table(spark, rows(9), t, types, check=lambda df: (_ for _ in ()).throw(ValueError()))
+    assert stored() == 7
+
+
+def test_strict_csv(spark, tmp_path):
+    head = ",".join(SALES_COLUMNS)
+    good = "1,10,3,2,2025-01-02,5.5,11.0,North"
+
+    def read(name, lines, **options):
+        path = tmp_path / name
+        path.write_text("\n".join(lines) + "\n")
+        return read_sales(spark, str(path), fmt="csv", **options).collect()
+
+    assert read("good.csv", [head, good])[0].customer_id == 10
+    assert read("semi.csv", [head.replace(",", ";"), good.replace(",", ";")], sep=";")[0].product_id == 3
+    swapped = head.replace("customer_id", "x").replace("product_id", "customer_id").replace("x", "product_id")
+    for name, lines in (("head.csv", [swapped, good]), ("cell.csv", [head, good.replace(",2,", ",x,")]),
+                        ("amount.csv", [head, good.replace("11.0", "abc")])):
+        with pytest.raises(Exception):
+            read(name, lines)
+
+
+def test_amounts_beyond_cents_are_refused(spark):
+    from tillroll.operators.contracts import whole_cents
+    ok = spark.createDataFrame([(20.66,), (None,), (-3.0,)], "sale_amount double")
+    assert whole_cents(ok).agg(F.sum("sale_amount")).first()[0] == 17.66
+    with pytest.raises(Exception, match="more than two decimals"):
+        whole_cents(spark.range(1000).selectExpr("0.004D AS sale_amount")).collect()

@@ -25,6 +25,10 @@ def test_weekly_refresh(spark):
     assert report.total_rows == total + 2 * cube.count()
     assert report.latest_import == dt.date(2025, 3, 4)
     assert f"`sales`: `{total:,}`" in report.report
+    # statistics are computed after each switch
+    from tillroll.operators.monitoring import catalog_row_counts, estimated_row_counts
+    exact = catalog_row_counts(spark, "x", "weekly_t").collect()
+    assert estimated_row_counts(spark, "x", "weekly_t").collect() == exact
     # a second run replaces, never appends
     run_weekly(spark, raw, "weekly_t", dt.date(2025, 3, 4)).first()
     assert spark.read.table("weekly_t.sales").count() == total

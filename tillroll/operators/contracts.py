@@ -25,8 +25,10 @@ def sales_contract(sales: DataFrame) -> DataFrame:
 
 
 def rowstore_cube(cube: DataFrame) -> DataFrame:
-    """The cube in the row store's types: means as decimal(12,1) / (6,1)."""
-    return cast_to(cube, cube_types("rowstore"))
+    """The cube in the row store's types, means as decimal(12,1) / (6,1), plus
+    ``region_fits`` as in ``sales_contract``."""
+    return cast_to(cube, cube_types("rowstore")).withColumn(
+        "region_fits", F.length("region") <= REGION_MAX_LENGTH)
 
 
 def warehouse_cube(cube: DataFrame, import_date=None) -> DataFrame:
@@ -41,6 +43,16 @@ def warehouse_cube(cube: DataFrame, import_date=None) -> DataFrame:
     return cast_to(cube.withColumn("import_date", day), cube_types("warehouse"))
 
 
+def whole_cents(sales: DataFrame, column: str = "sale_amount") -> DataFrame:
+    """``sales`` unchanged; reading an amount with more than two decimals raises (the cube
+    sums whole cents, and a cut must not pass in silence)."""
+    exact = F.col(column).cast("decimal(38,6)")
+    return sales.withColumn(column, F.when(
+        exact != F.round(exact, 2),
+        F.raise_error(F.concat(F.lit(f"{column} has more than two decimals: "), exact.cast("string")))
+        .cast(sales.schema[column].dataType)).otherwise(F.col(column)))
+
+
 def pk_violations(df: DataFrame, key: str = "sale_id") -> DataFrame:
     """Keys that break a primary key: (key, n) for keys seen more than once,
     and one row with a null key if any key is null. Empty means the key holds.

@@ -1,30 +1,16 @@
-"""Dictionary lookup: a left join to a dimension, broadcast only when its
-size is proven small."""
+"""Dictionary lookup: a left join to a dimension."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
-# A dimension is broadcast only if it has at most this many rows.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
-
-def fits(dim: DataFrame, max_rows: int) -> bool:
-    """True if ``dim`` has at most ``max_rows`` rows. One job over the
-    dimension's join columns in which each task stops after ``max_rows + 1``
-    rows: a small dimension is read once, a large one is cut short per task,
-    and the fact is not touched."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column, how: str = "left",
-           max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on: str | list[str] | Column,
+           how: str = "left") -> DataFrame:
     """``fact`` joined to ``dim``; a key missing from ``dim`` gives nulls.
 
-    Small dimension: broadcast hash join, the fact is not shuffled. Large
-    dimension: an ordinary join, which the planner runs as a sort-merge join
-    (with skew splitting by AQE).
+    The planner, and AQE at run time, choose by bytes: a dimension below the
+    broadcast threshold is broadcast and the fact is not shuffled; a larger one
+    is met in a sort-merge join, whose skewed partitions AQE splits.
     """
-    side = F.broadcast(dim) if fits(dim, max_broadcast_rows) else dim
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)

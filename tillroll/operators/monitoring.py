@@ -17,6 +17,8 @@ LINE_PREFIX = "  • `"
 LINE_MIDDLE = "`: `"
 LINE_SUFFIX = "`"
 NO_TABLES = "  • (нет таблиц)"
+# Count of a table without statistics.
+UNKNOWN = "unknown"
 
 
 COUNTS_SCHEMA = T.StructType([
@@ -28,15 +30,13 @@ COUNTS_SCHEMA = T.StructType([
 
 def row_counts(tables: dict[str, DataFrame], source: str) -> DataFrame:
     """(source, table_name, row_count) for each table: exact counts, all in
-    one job (a union of global aggregates). Each part is one row in one
-    partition and a union keeps its children's order, so the rows come out
-    in table-name order without a sort."""
+    one job (a union of global aggregates, one row a table), in table-name order."""
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(source).alias("source"), F.lit(name).alias("table_name"), "row_count")
         for name, df in sorted(tables.items())
     ]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name")
 
 
 def catalog_tables(spark, database: str | None = None,
@@ -79,7 +79,7 @@ def row_count_totals(counts: DataFrame) -> DataFrame:
 
 def report_line(name: Column, count: Column) -> Column:
     return F.concat(F.lit(LINE_PREFIX), name, F.lit(LINE_MIDDLE),
-                    thousands(F.coalesce(count, F.lit(0))), F.lit(LINE_SUFFIX))
+                    F.coalesce(thousands(count), F.lit(UNKNOWN)), F.lit(LINE_SUFFIX))
 
 
 def row_count_report(counts: DataFrame, sources: list[str] | None = None) -> DataFrame:

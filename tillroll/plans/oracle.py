@@ -9,12 +9,8 @@ HUGEINT).
 
 from __future__ import annotations
 
-from tillroll.plans.registry import AS_OF, GENERATOR_AS_OF, SEED, SOURCE, TOP_K
+from tillroll.plans.registry import AS_OF, SOURCE, TOP_K
 from tillroll.schemas import CELL_MEASURES, CUBE_KEYS, DIMENSIONS, cube_types
-from tillroll.sources.generator import (
-    N_CUSTOMERS, N_DAYS, DAYS_BACK, PERMUTE_A, PERMUTE_B, PRICE_TIERS_CENTS, QUANTITY_CLIP,
-    REGIONS,
-)
 from tillroll.sources.testdata import TABLES
 
 
@@ -132,57 +128,6 @@ def dashboard_sql(dim: str, extra: str = "") -> str:
     return f"SELECT DISTINCT {keys}{extra}, {cols} FROM ({CUBE})"
 
 
-def _u(h: str, i: int) -> str:
-    return f"CAST(('0x' || substr({h}, {1 + 8 * i}, 8)) AS BIGINT)"
-
-
-def generated_sql() -> str:
-    """The generator's rows, as many as the line items."""
-    weights = [w for _, w, _, _ in REGIONS]
-    quota = [f"n * {w} // 100" for w in weights]
-    region_case, product_case, quantity_case = [], [], []
-    bound = []
-    for i, (name, _, (plo, phi), (qlo, qhi)) in enumerate(REGIONS):
-        bound.append(f"q{i}")
-        cond = f"k < {' + '.join(bound)}"
-        clo, chi = QUANTITY_CLIP[name]
-        region_case.append(f"WHEN {cond} THEN '{name}'")
-        product_case.append(f"WHEN {cond} THEN {plo} + {_u('h', 1)} % {phi - plo + 1}")
-        quantity_case.append(
-            f"WHEN {cond} THEN least(greatest({qlo} + {_u('h', 2)} % {qhi - qlo + 1}, {clo}), {chi})")
-    price_case = " ".join(
-        f"WHEN pid BETWEEN {a} AND {b} THEN {lo} + {_u('ph', 0)} % {hi - lo}"
-        for a, b, lo, hi in PRICE_TIERS_CENTS)
-    first_day = f"(DATE '{GENERATOR_AS_OF.isoformat()}' - INTERVAL {DAYS_BACK} DAY)"
-    return f"""
-    WITH q AS (SELECT {', '.join(f'{e} AS q{i}' for i, e in enumerate(quota))}
-               FROM (SELECT count(*) AS n FROM lineitem)),
-    ids AS (SELECT range AS id, q.*, q0 + q1 + q2 + q3 AS total
-            FROM q, range((SELECT q0 + q1 + q2 + q3 FROM q))),
-    hashed AS (SELECT *, md5('{SEED}:' || CAST(id AS VARCHAR)) AS h,
-                      CAST((CAST(id AS HUGEINT) * {PERMUTE_A} + {PERMUTE_B}) % total AS BIGINT) AS k
-               FROM ids),
-    prices AS (SELECT pid AS product_id, CAST(CASE {price_case} END AS BIGINT) AS price_cents
-               FROM (SELECT CAST(range AS INTEGER) AS pid,
-                            md5('{SEED}p:' || CAST(range AS VARCHAR)) AS ph
-                     FROM range(1, 71))),
-    rows AS (
-      SELECT id + 1 AS sale_id,
-             CAST(1 + {_u('h', 0)} % {N_CUSTOMERS} AS INTEGER) AS customer_id,
-             CAST(CASE {' '.join(product_case)} END AS INTEGER) AS product_id,
-             CAST(CASE {' '.join(quantity_case)} END AS INTEGER) AS quantity,
-             CAST({first_day} + INTERVAL 1 DAY * ({_u('h', 3)} % {N_DAYS}) AS DATE) AS sale_date,
-             CASE {' '.join(region_case)} END AS region
-      FROM hashed)
-    SELECT r.sale_id, r.customer_id, r.product_id, r.quantity, r.sale_date,
-           CAST(p.price_cents AS DECIMAL(10,0)) / 100 AS price_product,
-           r.quantity * p.price_cents AS amount_cents,
-           r.region
-    FROM rows r LEFT JOIN prices p ON r.product_id = p.product_id"""
-
-
-GENERATED = generated_sql()
-
 def _typed_cube(store: str, import_date: str | None) -> str:
     types = cube_types(store)
     cols = []
@@ -239,27 +184,16 @@ ORACLE_SQL: dict[str, str] = {
         CAST(sale_amount AS DECIMAL(12,2)) AS sale_amount, region,
         length(region) <= 10 AS region_fits
         FROM ({FACT})""",
-    "load_contract_rowstore": _typed_cube("rowstore", None),
+    "load_contract_rowstore": f"""SELECT *, length(region) <= 10 AS region_fits
+        FROM ({_typed_cube("rowstore", None)})""",
     "load_contract_warehouse": _typed_cube("warehouse", AS_OF_SQL),
     "pk_violations": """SELECT sale_id, n FROM (
         SELECT l_orderkey * 10 + l_linenumber AS sale_id, count(*) AS n FROM lineitem GROUP BY 1)
         WHERE n > 1 OR sale_id IS NULL""",
     "schema_evolution": f"""SELECT *, {_NULLS_FOR_ROLLUPS} FROM ({_CELLS_10})
         UNION ALL BY NAME {CUBE}""",
-    "generated_sales_profile": f"""SELECT region, count(*) AS n_rows,
-        count(DISTINCT product_id) AS n_products,
-        min(product_id) AS min_product, max(product_id) AS max_product,
-        min(quantity) AS min_quantity, max(quantity) AS max_quantity,
-        CAST(sum(quantity) AS BIGINT) AS sum_quantity,
-        CAST(sum(amount_cents) AS BIGINT) AS sum_amount_cents,
-        min(customer_id) AS min_customer, max(customer_id) AS max_customer,
-        min(sale_date) AS min_date, max(sale_date) AS max_date,
-        CAST(sum(sale_id) AS BIGINT) AS sum_sale_id
-        FROM ({GENERATED}) GROUP BY region""",
-    "generated_sales_cube": cube_sql(
-        f"""SELECT sale_id, customer_id, product_id, quantity, sale_date, price_product,
-                   amount_cents / 100.0 AS sale_amount, region, amount_cents FROM ({GENERATED})""",
-        cents="amount_cents"),
+    "orders_lookup": """SELECT c_custkey, n_orders FROM customer LEFT JOIN (
+        SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
     "price_lookup": """SELECT l_orderkey, l_linenumber, l_partkey, p_retailprice
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
     "sale_amount_derived": """SELECT l_orderkey, l_linenumber,

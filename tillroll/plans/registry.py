@@ -20,14 +20,11 @@ from tillroll.operators.dedup import dedup_full_row
 from tillroll.operators.lookup import lookup
 from tillroll.operators.topk import top_products_from_cells
 from tillroll.plans.cube import sales_cube
-from tillroll.sources.generator import generate_sales
 from tillroll.sources.testdata import TABLES, sales_fact, table
 
 # Parameters of the registered queries. Both October and September 2001
 # have sales in the test tables.
 AS_OF = _dt.date(2001, 10, 15)
-GENERATOR_AS_OF = _dt.date(2025, 6, 15)
-SEED = 42
 TOP_K = 10
 SOURCE = "parquet"
 
@@ -64,32 +61,6 @@ def _row_counts(spark, sf_dir):
     return monitoring.row_counts(_tables(spark, sf_dir), SOURCE)
 
 
-def _generated(spark, sf_dir):
-    """Generated sales as many rows as the line items, so the work grows with
-    the test tables (counting a Parquet table reads only its footers)."""
-    n = table(spark, sf_dir, "lineitem").count()
-    return generate_sales(spark, n, GENERATOR_AS_OF, SEED)
-
-
-def _generated_profile(spark, sf_dir):
-    g = _generated(spark, sf_dir)
-    return g.groupBy("region").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.countDistinct("product_id").alias("n_products"),
-        F.min("product_id").alias("min_product"),
-        F.max("product_id").alias("max_product"),
-        F.min("quantity").alias("min_quantity"),
-        F.max("quantity").alias("max_quantity"),
-        F.sum("quantity").alias("sum_quantity"),
-        F.sum((F.col("sale_amount") * 100).cast("bigint")).alias("sum_amount_cents"),
-        F.min("customer_id").alias("min_customer"),
-        F.max("customer_id").alias("max_customer"),
-        F.min("sale_date").alias("min_date"),
-        F.max("sale_date").alias("max_date"),
-        F.sum("sale_id").alias("sum_sale_id"),
-    )
-
-
 def _warehouse(spark, sf_dir):
     cube = _cube(spark, sf_dir)
     day = F.when(F.col("sale_year") == AS_OF.year, F.lit(AS_OF)) \
@@ -156,9 +127,12 @@ QUERIES: dict[str, Query] = {
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"))),
     "schema_evolution": lambda s, d: contracts.union_evolved(
         cell_aggregate(dedup_full_row(sales_fact(s, d))), _cube(s, d)),
-    # 6. generator and lookups
-    "generated_sales_profile": _generated_profile,
-    "generated_sales_cube": lambda s, d: sales_cube(_generated(s, d)),
+    # 6. lookups
+    # a left join that misses: a third of the customers have no orders
+    "orders_lookup": lambda s, d: lookup(
+        table(s, d, "customer").select("c_custkey"),
+        table(s, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+            F.count(F.lit(1)).alias("n_orders")), "c_custkey"),
     "price_lookup": lambda s, d: _lineitem_parts(s, d).select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_retailprice"),
     "sale_amount_derived": _sale_amount_derived,

@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 # Options every job in this package assumes.
 SQL_OPTIONS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # a value that doesn't fit its contract raises
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -7,21 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.schemas import SALES_SCHEMA
 
 
-def read_sales_csv(spark: SparkSession, path: str, infer_schema: bool = False) -> DataFrame:
+def read_sales_csv(spark: SparkSession, path: str, infer_schema: bool = False,
+                   **options) -> DataFrame:
     """Raw sales CSV with a header. The explicit schema avoids the extra pass
-    that inference makes; ``infer_schema=True`` reproduces the inferred types."""
+    that inference makes; ``infer_schema=True`` reproduces the inferred types.
+
+    Reading is strict: a header that differs from the schema, or a cell that doesn't
+    parse, fails the read (``mode`` and ``enforceSchema`` in ``options`` override it).
+    """
     reader = spark.read.option("header", True)
     if infer_schema:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(SALES_SCHEMA).csv(path)
+        return reader.option("inferSchema", True).options(**options).csv(path)
+    strict = {"enforceSchema": "false", "mode": "FAILFAST"} | options
+    return reader.schema(SALES_SCHEMA).options(**strict).csv(path)
 
 
 def read_sales(spark: SparkSession, source: str, fmt: str = "parquet", **options) -> DataFrame:
     """Sales rows from a path (``parquet``/``csv``/``orc``) or a table (``table``)."""
     if fmt == "table":
-        return spark.read.table(source)
+        return spark.read.options(**options).table(source)
     if fmt == "csv":
-        return read_sales_csv(spark, source, options.pop("infer_schema", False))
+        return read_sales_csv(spark, source, options.pop("infer_schema", False), **options)
     return spark.read.options(**options).format(fmt).load(source)
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,42 +40,61 @@ def write_parquet(df: DataFrame, path: str, cluster_by: list[str] | None = None,
     writer.parquet(path)
 
 
+def _detail(spark: SparkSession, table: str) -> dict[str, str]:
+    """The catalog's entries for a table (``Location``, ``Provider``, ...)."""
+    return {r.col_name: r.data_type
+            for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def _switch(spark: SparkSession, table: str, location: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
+def _remove(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def refresh_table(spark: SparkSession, df: DataFrame, table: str, types: dict[str, str],
                   cluster_by: list[str] | None = None, fmt: str = "parquet",
-                  swap: bool = True) -> None:
-    """Full refresh of a catalog table with a fixed type contract.
+                  check: Callable[[DataFrame], None] | None = None) -> None:
+    """Full refresh of an unpartitioned catalog table with a fixed type contract.
 
     Creates the table if absent, adds contract columns it lacks (additive
-    evolution: nothing is dropped or retyped), casts the rows to the contract
-    and replaces the table's rows, by position in the table's own column
-    order.
-
-    With ``swap`` (the default) the rows are written to a staging table
-    first, and only a complete write replaces the table (drop, then rename
-    the staging table). A failed or killed write leaves the old table
-    as it was, and ``df`` may even read the table it replaces. Without
-    ``swap`` the table is overwritten in place, which is cheaper, but a failed
-    job leaves it partly written.
+    evolution: nothing is dropped or retyped) and casts the rows to the contract.
+
+    Each version is written to a folder of its own beside the table's first
+    one. When it is complete, ``check`` gets the written rows and may raise;
+    then one catalog change (``SET LOCATION``) switches the table to it, and only
+    after that the old version is removed. A run that stops at any step
+    leaves the table with all old or all new rows, and at most a folder that no
+    table points to. ``df`` may read the table it replaces. Statistics are
+    computed after the switch.
     """
     create_table_if_absent(spark, table, types, fmt)
     add_missing_columns(spark, table, types)
     known = {c.lower(): c for c in types}
+    schema = spark.read.table(table).schema
     columns = []
-    for field in spark.read.table(table).schema.fields:
+    for field in schema.fields:
         name = known.get(field.name.lower())
         # A column the table has but the contract no longer lists stays, empty.
         columns.append(F.col(name).cast(types[name]).alias(field.name) if name
                        else F.lit(None).cast(field.dataType).alias(field.name))
-    rows = clustered(df.select(*columns), cluster_by)
-    if not swap:
-        rows.write.insertInto(table, overwrite=True)
-        return
-    staging = f"{table}__staging"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    spark.sql(f"CREATE TABLE {staging} LIKE {table}")
-    rows.write.insertInto(staging, overwrite=True)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    detail = _detail(spark, table)
+    old, provider = detail["Location"].rstrip("/"), detail["Provider"]
+    new = f"{re.sub('__v[0-9a-f]{32}$', '', old)}__v{uuid.uuid4().hex}"
+    try:
+        clustered(df.select(*columns), cluster_by).write.format(provider).save(new)
+        if check:
+            check(spark.read.format(provider).schema(schema).load(new))
+    except Exception:
+        _remove(spark, new)
+        raise
+    _switch(spark, table, new)
+    _remove(spark, old)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

@@ -39,7 +39,7 @@ from tillroll.llm.common import held_out, slices, stored
 
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, FOLD = 7, 2
-FREQUENT, LONGEST, FLUSH = 200_000, 64, 200_000
+FREQUENT, LONGEST, FLUSH, NO_PIECE = 200_000, 64, 200_000, -50.0
 #: Fixed value: the mark that starts a word in the pieces.
 MARK = "▁"
 END = ""  # no word is empty
@@ -151,9 +151,8 @@ class Lattice:
         return alpha[-1]
 
     def spelled(self, char: str) -> float:
-        """A character as its byte pieces (without byte pieces: the least likely piece for each)."""
-        least = -50.0 if not self.bytes else 0.0
-        return sum(self.bytes.get(b, least) for b in char.encode())
+        """A character as its byte pieces; a byte without a piece is next to impossible."""
+        return sum(self.bytes.get(b, NO_PIECE) for b in char.encode())
 
 
 def word_table(docs: DataFrame, path: str) -> tuple[DataFrame, int, int]:

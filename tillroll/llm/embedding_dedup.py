@@ -41,7 +41,7 @@ from tillroll.llm.common import stored
 from tillroll.llm.components import connected_components
 
 MIN_COSINE, SLACK = 0.93, 0.05
-SAMPLE, SHARD, BLOCK, MAX_CENTROIDS, ROUNDS = 8192, 2048, 4096, 1024, 8
+SAMPLE, SHARD, BLOCK, MAX_CENTROIDS, ROUNDS = 8192, 512, 4096, 1024, 8
 NEAREST, DEGREE, ALPHA, BEAM, QUERIES = 48, 24, 1.2, 32, 256
 AUDIT, RECALL, MAX_OVERLAP = 512, 0.9, 4
 

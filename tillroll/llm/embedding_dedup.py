@@ -11,7 +11,7 @@ precision; they link at ``MIN_COSINE`` or more.
 * Build: each shard's graph joins a vector with its nearest neighbours, pruned by the
   robust rule (a neighbour goes if a kept one is ``ALPHA`` times nearer to it than the
   vector is), with edges back. The adjacency lists of all shards are united: an edge is
-  sent to each shard that holds both ends.
+  sent to the other clusters that hold both ends, to the shard of the blocks of its ends.
 * Search: every member is a query. A greedy beam search runs from the medoid until it
   finds nothing nearer; then the range grows over the graph from the members found within
   ``MIN_COSINE - SLACK``. Only pairs that meet the exact cosine count (verify). A pair
@@ -44,6 +44,7 @@ MIN_COSINE, SLACK = 0.93, 0.05
 SAMPLE, SHARD, BLOCK, MAX_CENTROIDS, ROUNDS = 8192, 512, 4096, 1024, 8
 NEAREST, DEGREE, ALPHA, BEAM, QUERIES = 48, 24, 1.2, 32, 256
 AUDIT, RECALL, MAX_OVERLAP = 512, 0.9, 4
+PAIRS = 1 << 19  # neighbours looked at in one step of a search (memory only)
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -124,8 +125,7 @@ def members(rows: DataFrame) -> DataFrame:
     return dealt.select(
         "label", "dim", "cluster", F.least("b", "o").alias("lo"), F.greatest("b", "o").alias("hi"),
         "cid", "n", "unit", F.expr("transform(parts, x -> x.cluster)").alias("clusters"),
-        F.expr("transform(parts, x -> pmod(xxhash64(cid), x.blocks))").alias("own"),
-        F.expr("transform(parts, x -> x.blocks)").alias("blocks"))
+        F.expr("transform(parts, x -> pmod(xxhash64(cid), x.blocks))").alias("own"))
 
 
 def robust_prune(x: np.ndarray, nodes: np.ndarray, near: np.ndarray) -> np.ndarray:
@@ -170,18 +170,29 @@ def build(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.r_[a, b], np.r_[b, a]
 
 
-def _adjacency(m: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Padded neighbour lists (-1: none), 4 x DEGREE at most: hubs keep their nearest-built."""
-    both = np.unique(a * m + b)
-    a, b = both // m, both % m
-    first = np.searchsorted(a, np.arange(m + 1))
-    place = np.arange(len(a)) - first[a]
-    out = np.full((m, max(1, int(np.diff(first).max(initial=1)))), -1, np.int64)
-    out[a, place] = b
+def _adjacency(m: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, to): the neighbours of node v are to[first[v]:first[v + 1]]."""
+    a, b = np.divmod(np.unique(a * m + b), m)
+    return np.searchsorted(a, np.arange(m + 1)), b
+
+
+def _neighbours(first: np.ndarray, to: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(k, j): every neighbour j of every nodes[k]."""
+    n = first[nodes + 1] - first[nodes]
+    k = np.repeat(np.arange(len(nodes)), n)
+    return k, to[np.arange(len(k)) + (first[nodes] - np.cumsum(n) + n)[k]]
+
+
+def _cosines(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Cosine of each pair q[i], x[j], a bounded number of pairs at a time."""
+    out = np.empty(len(i))
+    for c in range(0, len(i), PAIRS // 16):
+        at = slice(c, c + PAIRS // 16)
+        out[at] = np.einsum("nd,nd->n", q[i[at]], x[j[at]])
     return out
 
 
-def search(x: np.ndarray, adjacency: np.ndarray) -> np.ndarray:
+def search(x: np.ndarray, first: np.ndarray, to: np.ndarray) -> np.ndarray:
     """found[i, j]: vector j was found within MIN_COSINE of query i (all members are queries)."""
     m = len(x)
     found = np.zeros((m, m), bool)
@@ -189,50 +200,49 @@ def search(x: np.ndarray, adjacency: np.ndarray) -> np.ndarray:
     step = max(1, min(QUERIES, (1 << 21) // m))
     for at in range(0, m, step):
         q = x[at:at + step]
-        rows = np.arange(len(q))[:, None]
+        each = np.arange(len(q))
         seen = np.zeros((len(q), m), bool)
+        seen[:, medoid] = True
         beam = np.full((len(q), 1), medoid)
         score = (q @ x[medoid])[:, None]
         done = np.zeros((len(q), 1), bool)
-        seen[:, medoid] = True
-        hits = [np.stack([np.flatnonzero(score[:, 0] >= MIN_COSINE - SLACK),
-                          np.full((score[:, 0] >= MIN_COSINE - SLACK).sum(), medoid)])]
+        near = [(each, beam[:, 0], score[:, 0])]
         while not done.all():
             pick = np.where(done, -2, score).argmax(axis=1)
-            live = ~done[rows[:, 0], pick]
-            done[rows[:, 0], pick] = True
-            new = np.where(live[:, None], adjacency[beam[rows[:, 0], pick]], -1)
-            ok = (new >= 0) & ~seen[rows, new]
-            i, j = np.nonzero(ok)
-            seen[i, new[i, j]] = True
-            s = np.full(new.shape, -2.0)
-            s[i, j] = np.einsum("nd,nd->n", q[i], x[new[i, j]])
-            near = s >= MIN_COSINE - SLACK
-            hits.append(np.stack([np.nonzero(near)[0], new[near]]))
-            beam, score = np.concatenate([beam, new], 1), np.concatenate([score, s], 1)
-            done = np.concatenate([done, ~ok], 1)
-            if beam.shape[1] > BEAM:
-                top = np.argpartition(-score, BEAM - 1, axis=1)[:, :BEAM]
-                beam, score, done = (np.take_along_axis(v, top, 1) for v in (beam, score, done))
-        edge = np.concatenate(hits, axis=1)  # the range grows from all that was near
-        near = [edge]
-        while edge.shape[1]:
-            i = np.repeat(edge[0], adjacency.shape[1])
-            j = adjacency[edge[1]].ravel()
-            ok = j >= 0
-            pair = np.unique(i[ok] * m + j[ok])
-            i, j = pair // m, pair % m
+            live = np.flatnonzero(~done[each, pick])
+            done[each, pick] = True
+            k, j = _neighbours(first, to, beam[live, pick[live]])
+            i = live[k]
             fresh = ~seen[i, j]
             i, j = i[fresh], j[fresh]
             seen[i, j] = True
-            s = np.concatenate([np.einsum("nd,nd->n", q[i[c:c + 65536]], x[j[c:c + 65536]])
-                                for c in range(0, len(i), 65536)] or [np.zeros(0)])
-            edge = np.stack([i, j])[:, s >= MIN_COSINE - SLACK]
-            near.append(edge)
-        i, j = np.concatenate(near, axis=1)
-        s = np.concatenate([np.einsum("nd,nd->n", q[i[c:c + 65536]], x[j[c:c + 65536]])
-                            for c in range(0, len(i), 65536)] or [np.zeros(0)])
-        found[at + i[s >= MIN_COSINE], j[s >= MIN_COSINE]] = True
+            s = _cosines(q, x, i, j)
+            near.append((i, j, s))
+            n = np.bincount(i, minlength=len(q))  # i ascends
+            place = np.arange(len(i)) - (np.cumsum(n) - n)[i]
+            shape = len(q), int(n.max(initial=0))
+            more, more_score, more_done = np.zeros(shape, np.int64), np.full(shape, -2.0), np.ones(shape, bool)
+            more[i, place], more_score[i, place], more_done[i, place] = j, s, False
+            beam, score, done = (np.concatenate(v, 1) for v in (
+                (beam, more), (score, more_score), (done, more_done)))
+            if beam.shape[1] > BEAM:
+                top = np.argpartition(-score, BEAM - 1, axis=1)[:, :BEAM]
+                beam, score, done = (np.take_along_axis(v, top, 1) for v in (beam, score, done))
+        i, j, s = (np.concatenate(v) for v in zip(*near))
+        while len(i):  # the range grows from all that was near
+            link = s >= MIN_COSINE
+            found[at + i[link], j[link]] = True
+            i, j = i[s >= MIN_COSINE - SLACK], j[s >= MIN_COSINE - SLACK]
+            piece = np.cumsum(first[j + 1] - first[j]) // PAIRS
+            grown = []
+            for c in np.split(np.arange(len(i)), np.flatnonzero(np.diff(piece)) + 1):
+                k, to_j = _neighbours(first, to, j[c])
+                from_i = i[c][k]
+                fresh = ~seen[from_i, to_j]
+                new = np.divmod(np.unique(from_i[fresh] * m + to_j[fresh]), m)
+                seen[new] = True
+                grown.append((*new, _cosines(q, x, *new)))
+            i, j, s = (np.concatenate(v) for v in zip(*grown))
     np.fill_diagonal(found, False)
     return found | found.T
 
@@ -273,17 +283,15 @@ def index_and_search(rows: DataFrame) -> DataFrame:
         cid = part["cid"].to_numpy()
         out = [(key[2], key[3], key[4], cid[a], cid[b])]
         shared = [i for i, cs in enumerate(part["clusters"]) if len(cs) > 1]
-        if shared:  # the other shards that hold both ends
-            where = [dict(zip(cs, zip(o, n))) for cs, o, n in
-                     zip(part["clusters"], part["own"], part["blocks"])]
+        if shared:  # the other clusters that hold both ends
+            where = [dict(zip(cs, o)) for cs, o in zip(part["clusters"], part["own"])]
             rest: dict[tuple, list] = {}
             for u, v in zip(a.tolist(), b.tolist()):
                 for c in where[u].keys() & where[v].keys():
-                    (bu, n), (bv, _) = where[u][c], where[v][c]
-                    for o in range(n) if bu == bv else [bv]:
-                        to = (c, min(bu, o), max(bu, o))
-                        if to != tuple(key[2:]):
-                            rest.setdefault(to, []).append((u, v))
+                    bu, bv = where[u][c], where[v][c]
+                    to = (c, min(bu, bv), max(bu, bv))
+                    if to != tuple(key[2:]):
+                        rest.setdefault(to, []).append((u, v))
             out += [(*to, cid[np.array(e)[:, 0]], cid[np.array(e)[:, 1]]) for to, e in rest.items()]
         return pd.concat([pd.DataFrame({"label": key[0], "dim": key[1], "cluster": c, "lo": lo, "hi": hi,
                                         "a": u, "b": v}) for c, lo, hi, u, v in out])
@@ -296,7 +304,7 @@ def index_and_search(rows: DataFrame) -> DataFrame:
         x, cid = _units(part["unit"]), part["cid"].to_numpy()
         order = np.argsort(cid)
         a, b = (order[np.searchsorted(cid[order], graph[c].to_numpy())] for c in ("a", "b"))
-        found = search(x, _adjacency(len(x), a, b))
+        found = search(x, *_adjacency(len(x), a, b))
         root = _forest(found)
         found &= _first_shared(part, key)
         return pd.DataFrame({"cid": cid, "links": found @ part["n"].to_numpy(),

@@ -67,6 +67,26 @@ def test_stages_keep_all_columns(spark):
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [1, 2, 3, 4]
 
 
+def shared_line_docs(spark):
+    """30 documents of host h that are mostly one shared line with a small hash, 100 plain ones, and
+    40 copies of a text."""
+    shared = min((f"shared line {c} of this site " + "word " * 40 for c in "abcdefghijklmnopqrstuvwxyz"),
+                 key=lambda x: hashlib.md5(" ".join(x.split()).encode()).hexdigest())
+    own = lambda i, n: " ".join(f"{a}{b}{i % 7 * 'x'}{i // 7 * 'y'}" for a in "abcd" for b in "efghijklmnopqrs")[:n]
+    texts = [f"{shared}\n\n{own(i, 40)}" for i in range(30)] + [own(i, 2000) for i in range(30, 130)]
+    texts += ["copied " + own(200, 2000)] * 40
+    return shared, spark.createDataFrame(
+        [(i, t, "h", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, source string, n_chars long")
+
+
+def test_quality_counts_documents_not_smallest_lines(spark):
+    shared, docs = shared_line_docs(spark)
+    line = int(hashlib.md5(" ".join(shared.split()).encode()).hexdigest()[:15], 16)
+    assert [tuple(r) for r in quality.boilerplate_lines(quality.host_lines(docs)).collect()] == [("h", line, 30)]
+    kept = {r.doc_id: r.kept for r in quality.quality_rules(docs, min_words=5, max_repeat_pct=100).collect()}
+    assert kept == {i: i >= 30 for i in range(170)}
+
+
 def random_texts():
     rnd = random.Random(3)
     ranges = ((0x20, 0x7F), (0, 0x20), (0x80, 0x250), (0x370, 0x400), (0x400, 0x460), (0x600, 0x650),

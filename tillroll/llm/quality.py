@@ -8,9 +8,9 @@ removed; a document that keeps less than ``min_left`` of its words is depleted
 and rejected.
 
 Lines are compared by a 60-bit md5 of their normal form (A-Z lowered, digits
-to 0, white space to one space, trimmed). Copies must not make their own
-text look like boilerplate, so documents whose smallest line hash is equal
-count as one document.
+to 0, white space to one space, trimmed). Equal texts of a host are one document,
+told by the md5 of the whole text, so exact copies don't make their own text look like
+boilerplate. A document without a line (empty, or white space only) counts nowhere.
 
 Cases: a null text counts as empty (no words, ``base_failed``); a null source is
 the host with the empty name; null or repeated ids and repeated rows each keep
@@ -93,7 +93,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 def host_lines(docs: DataFrame) -> DataFrame:
     """The lines of each distinct (host, text): host, content, line number, line hash,
-    words, the document's words and its smallest line hash (``kin``)."""
+    words and the document's words."""
     t = F.coalesce(F.col("text"), F.lit(""))
     hashed = F.transform(lines_of(t), lambda x: let(normal_line(x), lambda y: F.struct(
         hash60(y).alias("line"),
@@ -103,18 +103,17 @@ def host_lines(docs: DataFrame) -> DataFrame:
         F.unhex(F.md5(t.cast("binary"))).alias("content"), hashed.alias("lines"))
     docs = docs.select(
         "host", "content", "lines",
-        F.array_min(F.transform("lines", lambda x: x["line"])).alias("kin"),
         F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("total"))
-    lines = docs.select("host", "content", "kin", "total", F.posexplode("lines").alias("at", "l"))
-    return lines.select("host", "content", "kin", "total", "at", "l.line", "l.n").distinct()
+    lines = docs.select("host", "content", "total", F.posexplode("lines").alias("at", "l"))
+    return lines.select("host", "content", "total", "at", "l.line", "l.n").distinct()
 
 
 def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS,
                       max_share: float = MAX_SHARE) -> DataFrame:
     """(host, line, n_docs) of the lines above both limits."""
-    holders = lines.select("host", "line", "kin").distinct()
+    holders = lines.select("host", "line", "content").distinct()
     counts = holders.groupBy("host", "line").agg(F.count("*").alias("n_docs"))
-    hosts = lines.select("host", "kin").distinct().groupBy("host").agg(
+    hosts = lines.select("host", "content").distinct().groupBy("host").agg(
         F.count("*").alias("host_docs"))
     return counts.where(F.col("n_docs") > max_docs).join(hosts, "host").where(
         F.col("n_docs") > max_share * F.col("host_docs")).select("host", "line", "n_docs")

@@ -13,7 +13,8 @@ from tillroll.llm.common import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go; the texts of the others go on without the
+    lines that are common in their host."""
     return quality.keep_good(docs)
 
 

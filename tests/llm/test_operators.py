@@ -87,6 +87,17 @@ def test_quality_counts_documents_not_smallest_lines(spark):
     assert kept == {i: i >= 30 for i in range(170)}
 
 
+def test_quality_removes_common_lines(spark):
+    shared, docs = shared_line_docs(spark)
+    before = {r.doc_id: r.text for r in docs.collect()}
+    want = {i: "\n".join(x for x in t.split("\n") if x != shared) for i, t in before.items()}
+    assert {r.doc_id: r.clean_text for r in quality.cleaned(docs).collect()} == want
+    rows = quality.keep_good(docs, min_words=5, max_repeat_pct=100, min_left=0.0).collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in rows} == {i: (t, len(t)) for i, t in want.items()}
+    left = quality.keep_good(docs, min_words=5, max_repeat_pct=100).collect()
+    assert sorted(r.doc_id for r in left) == list(range(30, 170))
+
+
 def random_texts():
     rnd = random.Random(3)
     ranges = ((0x20, 0x7F), (0, 0x20), (0x80, 0x250), (0x370, 0x400), (0x400, 0x460), (0x600, 0x650),

@@ -4,8 +4,8 @@ Every document gets counts of its own text, and its lines are compared with the
 other documents of its host (``source``). A line is boilerplate of a host when
 more than ``max_docs`` distinct documents there hold it, and more than
 ``max_share`` of the host's distinct documents. Its lines above the limits are
-removed; a document that keeps less than ``min_left`` of its words is depleted
-and rejected.
+removed from the text (``cleaned``, ``keep_good``); a document whose rebuilt text keeps
+less than ``min_left`` of its words is depleted and rejected.
 
 Lines are compared by a 60-bit md5 of their normal form (A-Z lowered, digits
 to 0, white space to one space, trimmed). Equal texts of a host are one document,
@@ -91,43 +91,63 @@ def base_counts(docs: DataFrame) -> DataFrame:
     )
 
 
+def host_of(source: Column) -> Column:
+    return F.coalesce(source.cast("string"), F.lit(""))
+
+
 def host_lines(docs: DataFrame) -> DataFrame:
-    """The lines of each distinct (host, text): host, content, line number, line hash,
-    words and the document's words."""
+    """The distinct lines of each distinct (host, text): host, content, line hash."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    hashed = F.transform(lines_of(t), lambda x: let(normal_line(x), lambda y: F.struct(
-        hash60(y).alias("line"),
-        (F.length(y) - F.length(F.replace(y, F.lit(" "))) + 1).alias("n"))))
-    docs = docs.select(
-        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
-        F.unhex(F.md5(t.cast("binary"))).alias("content"), hashed.alias("lines"))
-    docs = docs.select(
-        "host", "content", "lines",
-        F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("total"))
-    lines = docs.select("host", "content", "total", F.posexplode("lines").alias("at", "l"))
-    return lines.select("host", "content", "total", "at", "l.line", "l.n").distinct()
+    hashed = F.array_distinct(F.transform(lines_of(t), lambda x: hash60(normal_line(x))))
+    return docs.select(
+        host_of(F.col("source")).alias("host"), F.unhex(F.md5(t.cast("binary"))).alias("content"),
+        F.explode(hashed).alias("line")).distinct()
 
 
 def boilerplate_lines(lines: DataFrame, max_docs: int = MAX_DOCS,
                       max_share: float = MAX_SHARE) -> DataFrame:
     """(host, line, n_docs) of the lines above both limits."""
-    holders = lines.select("host", "line", "content").distinct()
-    counts = holders.groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n_docs"))
     hosts = lines.select("host", "content").distinct().groupBy("host").agg(
         F.count("*").alias("host_docs"))
     return counts.where(F.col("n_docs") > max_docs).join(hosts, "host").where(
         F.col("n_docs") > max_share * F.col("host_docs")).select("host", "line", "n_docs")
 
 
-def depleted(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE,
-             min_left: float = MIN_LEFT) -> DataFrame:
-    """(host, content, removed_words) of the texts that keep less than ``min_left``."""
+def host_boilerplate(docs: DataFrame, max_docs: int = MAX_DOCS,
+                     max_share: float = MAX_SHARE) -> DataFrame:
+    """(host, gone): the hashes of the host's lines above both limits. Each stands in more than
+    ``max_share`` of the documents, so they are less than ``1 / max_share`` times the lines of
+    the host's mean document."""
     lines = stored(host_lines(docs), "lines")
-    common = stored(boilerplate_lines(lines, max_docs, max_share), "common-lines")
-    removed = lines.join(common, ["host", "line"]).groupBy("host", "content").agg(
-        F.sum("n").alias("removed_words"), F.first("total").alias("total"))
-    return removed.where(
-        F.col("total") - F.col("removed_words") < min_left * F.col("total")).drop("total")
+    common = boilerplate_lines(lines, max_docs, max_share)
+    return stored(common.groupBy("host").agg(F.collect_list("line").alias("gone")), "common-lines")
+
+
+def without_lines(text: Column, gone: Column) -> Column:
+    """The text rebuilt from its lines that are not in ``gone``; blank lines stay."""
+    stays = lambda x: ~F.array_contains(gone, hash60(normal_line(x)))
+    return F.when(gone.isNull() | text.isNull(), text).otherwise(
+        F.array_join(F.filter(F.split(text, "\n"), stays), "\n"))
+
+
+def with_boilerplate(docs: DataFrame, max_docs: int = MAX_DOCS,
+                     max_share: float = MAX_SHARE) -> DataFrame:
+    """``row`` (all columns of ``docs`` as a struct) and ``gone`` of its host (or null)."""
+    common = host_boilerplate(docs, max_docs, max_share)
+    return docs.select(F.struct("*").alias("row"), host_of(F.col("source")).alias("host")).join(
+        common, "host", "left")
+
+
+def cleaned(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+    """One row per row of ``docs``, all columns, and ``clean_text``: its text without the lines
+    above the limits."""
+    rows = with_boilerplate(docs.drop("clean_text"), max_docs, max_share)
+    return rows.select("row.*", without_lines(F.col("row.text"), F.col("gone")).alias("clean_text"))
+
+
+def is_depleted(clean_text: Column, n_words: Column, min_left: float) -> Column:
+    return F.size(words_of(F.coalesce(clean_text, F.lit("")))) < min_left * n_words
 
 
 def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS,
@@ -135,33 +155,32 @@ def quality_rules(docs: DataFrame, min_words: int = MIN_WORDS,
                   max_share: float = MAX_SHARE, min_left: float = MIN_LEFT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, the base counts,
     ``base_failed`` and ``kept``."""
-    poor = stored(depleted(docs, max_docs, max_share, min_left), "depleted").select(
-        F.col("host").alias("_host"), F.col("content").alias("_content"))
-    rows = base_counts(docs.select("doc_id", "text", "source")).withColumns({
-        "_h": F.coalesce(F.col("source").cast("string"), F.lit("")),
-        "_c": F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))),
-        "base_failed": (F.col("n_words") < min_words)
-        | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words")),
-    }).drop("text", "source")
-    judged = rows.join(poor, (F.col("_h") == F.col("_host")) & (F.col("_c") == F.col("_content")),
-                       "left")
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", (~F.col("base_failed") & F.col("_host").isNull()).alias("kept"))
+    rows = base_counts(cleaned(docs.select("doc_id", "text", "source"), max_docs, max_share))
+    return rows.withColumn(
+        "base_failed", (F.col("n_words") < min_words)
+        | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        (~F.col("base_failed") & ~is_depleted(F.col("clean_text"), F.col("n_words"), min_left)).alias(
+            "kept"))
 
 
 def keep_good(docs: DataFrame, min_words: int = MIN_WORDS, max_repeat_pct: int = MAX_REPEAT_PCT,
-              **limits) -> DataFrame:
-    """The rows of ``docs``, all columns, that the rules keep. A row is found again by
-    its host and text, so nulls, repeated ids and extra columns don't matter."""
-    poor = stored(depleted(docs, **limits), "depleted").select(
-        F.col("host").alias("_host"), F.col("content").alias("_content"))
-    t = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(F.struct("*").alias("row"), let(words_of(t), lambda w: (
-                           F.size(w) >= min_words) & (
-                           100 * repeated_words(w) <= max_repeat_pct * F.size(w))).alias("good"),
-                       F.coalesce(F.col("source").cast("string"), F.lit("")).alias("host"),
-                       F.unhex(F.md5(t.cast("binary"))).alias("content"))
-    return rows.where("good").join(
-        poor, (F.col("host") == F.col("_host")) & (F.col("content") == F.col("_content")),
-        "left_anti").select("row.*")
+              min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep, with the lines above the limits
+    removed from ``text``; where that changes a text, ``n_chars`` (if there is one) follows."""
+    row = F.col("row")
+
+    def judged(n: Column) -> Column:  # n: words of a text that passes the base rules
+        return let(F.when(n.isNotNull(), without_lines(row["text"], F.col("gone"))), lambda t: F.struct(
+            t.alias("text"), (n.isNotNull() & ~is_depleted(t, n, min_left)).alias("good")))
+
+    n = let(words_of(F.coalesce(row["text"], F.lit(""))), lambda w: F.when(
+        (F.size(w) >= min_words) & (100 * repeated_words(w) <= max_repeat_pct * F.size(w)), F.size(w)))
+    # explode of one: the filter can't be pushed below it, so texts are judged once
+    kept = with_boilerplate(docs, **limits).select("row", F.explode(F.array(let(n, judged))).alias(
+        "new")).where("new.good").select("row", F.col("new.text").alias("clean"))
+    new = {"text": F.col("clean")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("clean") != row["text"], F.length("clean")).otherwise(
+            row["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return kept.select(*(new.get(c, row[c]).alias(c) for c in docs.columns))

@@ -213,6 +213,17 @@ def test_html_main_text(spark):
     assert html_text.main_text(pages.limit(0)).collect() == []
 
 
+def test_html_host_of_few_pages_and_many_copies(spark):
+    boiler = "this site uses cookies to make your visit better please accept them all now"
+    rows = [(i, f"<p>{boiler}</p><p>page{i} " + " ".join(f"w{i}x{j}" for j in range(30))) for i in range(6)]
+    rows += [(6 + i, "<p>copied " + " ".join(f"c{j}" for j in range(40))) for i in range(600)]
+    pages = spark.createDataFrame([(i, "http://h/p", h) for i, h in rows], "page_id long, url string, html string")
+    split = html_text.host_boilerplate(html_text.parsed(pages), group_pages=4).collect()
+    whole = html_text.host_boilerplate(html_text.parsed(pages), group_pages=10_000).collect()
+    n = len(boiler.split()) - html_text.RUN + 1
+    assert [len(r.runs) for r in split] == [n] and [set(r.runs) for r in split] == [set(r.runs) for r in whole]
+
+
 def test_mixing_deviates_by_less_than_a_block(spark):
     docs = spark.range(6000).selectExpr(
         "id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 7) END AS source")

@@ -6,14 +6,15 @@ their class, id or role) go with all they hold. If the page has an article or ma
 only text inside one counts. What is left is cut into blocks at block tags; references are
 decoded, white space becomes one space.
 
-Host suffix array. The blocks of a host's distinct pages are token streams. Pages are
-dealt, by a hash of the row, into groups of about ``GROUP_PAGES`` pages of one host, where
-one row stands for all copies of a text;
+Host suffix array. The blocks of a host's distinct pages are token streams. These pages,
+one for all copies of a text, are dealt by a hash of the text into groups of about
+``GROUP_PAGES`` pages of one host;
 each group's streams are concatenated and their suffixes sorted (prefix doubling up to
 ``RUN`` tokens), so equal runs of ``RUN`` tokens are neighbours. Runs that stand on at least
-``SHARE`` of a group's pages are candidates: what has that share of the host has it in
-some group. Their pages are then counted in all groups, and tokens covered by
-the runs that stand on ``SHARE`` of the host's pages, and ``MIN_PAGES`` at least, are
+``SHARE`` of a group's pages are candidates (on a single page, where that is the share): what has
+that share of the host has it in some group. The host's distinct pages that hold them are then
+counted, and tokens covered by the runs that stand on ``SHARE`` of the host's pages, and
+``MIN_PAGES`` at least, are
 removed; the unique runs stay. A hot host is many groups, and copies of a page count
 once, so an article that was copied doesn't become boilerplate.
 
@@ -149,9 +150,9 @@ def _streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.repeat(np.arange(len(texts)), [len(w) for w in words])
 
 
-def repeated_runs(texts: list[str]) -> pd.DataFrame:
+def repeated_runs(texts: list[str], least: int = 2) -> pd.DataFrame:
     """Suffix array of the concatenated streams, sorted by the first ``RUN`` tokens: for
-    each run that stands on several pages its hash (of its tokens) and its pages."""
+    each run that stands on ``least`` pages or more its hash (of its tokens) and its pages."""
     tokens, page = _streams(texts)
     none = pd.DataFrame({"run": np.zeros(0, np.int64), "pages": np.zeros(0, np.int64)})
     if len(tokens) < RUN:
@@ -168,7 +169,7 @@ def repeated_runs(texts: list[str]) -> pd.DataFrame:
     r, p = rank[array], page[array]
     new = np.r_[True, (r[1:] != r[:-1]) | (p[1:] != p[:-1])]  # a run once a page
     first, n = np.unique(r[new], return_index=True, return_counts=True)[1:]
-    many = n > 1
+    many = n >= least
     at = array[new][first[many]]
     return pd.DataFrame({"run": _run_hashes(tokens, at), "pages": n[many].astype(np.int64)})
 
@@ -202,62 +203,49 @@ def without_runs(text: str, runs: np.ndarray) -> str:
 def host_boilerplate(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES,
                      group_pages: int = GROUP_PAGES) -> DataFrame:
     """(host, runs): hashes of the runs on at least ``share`` of the host's distinct pages."""
-    rows = pages.where("text <> ''").select("host", "text", _row_key().alias("key"))
-    firsts = stored(rows.groupBy("host", F.md5(F.col("text").cast("binary")).alias("content")).agg(
-        F.min("key").alias("key"), F.count("*").alias("copies")), "distinct-pages")
-    sizes = stored(firsts.groupBy("host").agg(
-        F.count("*").alias("host_pages"), F.ceil(F.sum("copies") / group_pages).alias("parts")).where(
-        F.col("host_pages") >= min_pages), "host-pages")
-    part = F.expr("pmod(key, parts)").alias("part")
-    grouped = rows.join(sizes, "host").select("host", part, "key", "text")
-    dealt = firsts.join(sizes, "host").select("host", part, "key")
-
-    def distinct(pages: pd.DataFrame, firsts: pd.DataFrame) -> list[str]:
-        """Texts of the group's pages that stand for their copies in the whole host."""
-        return pages[pages["key"].isin(firsts["key"])]["text"].drop_duplicates().tolist()
-
-    def candidates(key: tuple, pages: pd.DataFrame, firsts: pd.DataFrame) -> pd.DataFrame:
-        texts = distinct(pages, firsts)
-        found = repeated_runs(texts)
-        found = found[found["pages"] >= share * len(texts)]
+    rows = pages.where("text <> ''").select(
+        "host", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"))
+    sizes = stored(rows.select("host", "content").distinct().groupBy("host").agg(
+        F.count("*").alias("host_pages")).where(F.col("host_pages") >= min_pages).withColumn(
+        "parts", F.ceil(F.col("host_pages") / group_pages)), "host-pages")
+
+    def candidates(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
+        found = repeated_runs(pages["text"].tolist(), 1 if share * len(pages) <= 1 else 2)
+        found = found[found["pages"] >= share * len(pages)]
         return pd.DataFrame({"host": key[0], "run": found["run"]})
 
-    some = stored(grouped.groupBy("host", "part").cogroup(dealt.groupBy("host", "part")).applyInPandas(
-        candidates, "host string, run long").distinct(), "run-candidates")
-    if some.isEmpty():  # nothing to count
-        return some.select("host", F.array("run").alias("runs"))
-
-    def count(key: tuple, pages: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        texts = distinct(pages, asked[~asked["is_run"]])
-        return pd.DataFrame({"host": key[0], **pages_with(
-            texts, asked[asked["is_run"]]["key"].to_numpy())})
-
-    # one long column without nulls: pandas would turn them into floats
-    asked = sizes.join(some, "host").select("host", F.explode(F.expr("sequence(0L, parts - 1)")).alias(
-        "part"), F.col("run").alias("key"), F.lit(True).alias("is_run")).union(
-        dealt.select("host", "part", "key", F.lit(False)))
-    counted = grouped.groupBy("host", "part").cogroup(asked.groupBy("host", "part")).applyInPandas(
-        count, "host string, run long, pages long")
-    return counted.groupBy("host", "run").agg(F.sum("pages").alias("pages")).join(sizes, "host").where(
-        (F.col("pages") >= min_pages) & (F.col("pages") >= share * F.col("host_pages"))).groupBy(
-        "host").agg(F.collect_set("run").alias("runs"))
-
-
-def pages_with(texts: list[str], runs: np.ndarray) -> dict[str, np.ndarray]:
-    """How many of the texts hold each of the runs."""
-    tokens, page = _streams(texts)
-    at = np.arange(max(0, len(tokens) - RUN + 1))
-    at = at[page[at] == page[at + RUN - 1]]
-    hashes = _run_hashes(tokens, at)
-    wanted = np.isin(hashes, runs)
-    pairs = np.unique(np.stack([hashes[wanted], page[at][wanted]]), axis=1)
-    run, n = np.unique(pairs[0], return_counts=True)
-    return {"run": run, "pages": n.astype(np.int64)}
-
-
-def _row_key() -> Column:
-    """The same number whenever a row is parsed anew; equal rows may share it."""
-    return F.xxhash64("page_id", "url", "text")
+    def first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()  # hashes of the rows of one split
+        for batch in batches:
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+            new = [not (k in seen or seen.add(k)) for k in keys]
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    # copies go where they are read, then in the group's task: the texts are shuffled once
+    dealt = rows.mapInArrow(first_in_task, rows.schema).join(sizes, "host").select(
+        "host", F.expr("pmod(xxhash64(content), parts)").alias("part"), "content", "text").repartition(
+        "host", "part").dropDuplicates(["host", "part", "content"])
+    some = stored(dealt.select("host", "part", "text").groupBy("host", "part").applyInPandas(
+        candidates, "host string, run long").distinct().groupBy("host").agg(
+        F.collect_list("run").alias("asked")), "run-candidates")
+
+    @F.arrow_udf("array<int>")
+    def held(texts: pa.Array, asked: pa.Array) -> pa.Array:
+        return pa.array([runs_in(t.as_py(), np.array(a.as_py(), np.int64)) for t, a in zip(texts, asked)],
+                        pa.list_(pa.int32()))
+
+    hits = rows.join(some, "host").select("host", "content", held(F.col("text"), F.col("asked")).alias("at"))
+    counted = hits.dropDuplicates(["host", "content"]).select("host", F.explode("at").alias("at")).groupBy(
+        "host", "at").agg(F.count("*").alias("pages"))
+    return counted.join(sizes, "host").where(
+        (F.col("pages") >= min_pages) & (F.col("pages") >= share * F.col("host_pages"))).join(
+        some, "host").groupBy("host").agg(F.collect_set(F.get("asked", F.col("at"))).alias("runs"))
+
+
+def runs_in(text: str, asked: np.ndarray) -> np.ndarray:
+    """Places in ``asked`` of the runs that the text holds."""
+    tokens, _ = _streams([text])
+    return np.flatnonzero(np.isin(asked, _run_hashes(tokens, np.arange(max(0, len(tokens) - RUN + 1)))))
 
 
 def main_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:

@@ -314,3 +314,24 @@ def test_embeddings_against_all_pairs(spark):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert embedding_dedup.near_duplicates(vectors.limit(0)).collect() == []
+
+
+def test_embeddings_audit_of_every_index(spark, monkeypatch):
+    dense, sparse = np.eye(64)[0], np.eye(64)[1:41]
+    rows = [(i, 0, 64, dense.tolist()) for i in range(60)] + [
+        (60 + 2 * i + j, 0, 64, v.tolist()) for i, v in enumerate(sparse) for j in range(2)]
+    missed = spark.createDataFrame(rows, "cid long, label int, dim int, unit array<double>")
+    totals = spark.createDataFrame([(i, 59 if i < 60 else 0) for i in range(140)], "cid long, partners long")
+    assert embedding_dedup.audit(missed, totals) < 0.5  # 0.98 of the links, but no sparse pair
+
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(40, 16))
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.1]).astype(np.float32)
+    vectors = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)],
+                                    "vec_id long, embedding array<float>, label int")
+    audited = []
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *_: audited.append(1) or 0.0)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)  # several pairs of blocks
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(vectors).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    assert audited and [got[i] for i in range(80)] == ((u @ u.T >= 0.93).sum(axis=1) - 1).tolist()

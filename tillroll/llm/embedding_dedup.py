@@ -16,9 +16,11 @@ precision; they link at ``MIN_COSINE`` or more.
   finds nothing nearer; then the range grows over the graph from the members found within
   ``MIN_COSINE - SLACK``. Only pairs that meet the exact cosine count (verify). A pair
   that shares several shards is counted in the first one.
-* Audit: the links of ``AUDIT`` classes are counted by brute force over all classes, in
-  blocks; while less than ``RECALL`` of them are found, the index is built anew with one more
-  centroid a vector (``overlap`` up to ``MAX_OVERLAP``).
+* Audit, of every index: the links of ``AUDIT`` classes are counted by brute force over all
+  classes, in blocks. While less than ``RECALL`` of them are found, in all or in the mean of the
+  classes that have links, the index is built anew with one more centroid a vector, and from
+  ``MAX_OVERLAP`` on with twice as many. If all centroids don't do, every pair of a label is
+  compared, in blocks.
 
 Cases: vectors that are null, empty, zero, or hold null or non-finite components, and null
 labels, link with nothing and are their own component (``component_id`` = ``vec_id``,
@@ -272,12 +274,30 @@ def _forest(found: np.ndarray) -> np.ndarray:
         root = new
 
 
-def index_and_search(rows: DataFrame) -> DataFrame:
+def index_and_search(rows: DataFrame, exact: bool = False) -> DataFrame:
     """(cid, links, partners, other): links and linked classes of a class, a shard at a time, and
-    a class that its links reach."""
+    a class that its links reach. ``exact``: every pair of a shard is compared, without a graph."""
     shards = stored(members(rows), "shards")
     kind = shards.schema["label"].dataType.simpleString()
 
+    def linked(cid: np.ndarray, found: np.ndarray, part: pd.DataFrame, key: tuple) -> pd.DataFrame:
+        root = _forest(found)
+        found &= _first_shared(part, key)
+        return pd.DataFrame({"cid": cid, "links": found @ part["n"].to_numpy(),
+                             "partners": found.sum(axis=1), "other": cid[root]})
+
+    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        x = _units(part["unit"])
+        found = np.zeros((len(x), len(x)), bool)
+        for at in range(0, len(x), 512):
+            found[at:at + 512] = x[at:at + 512] @ x.T >= MIN_COSINE
+        np.fill_diagonal(found, False)
+        return linked(part["cid"].to_numpy(), found | found.T, part, key)
+
+    result = "cid long, links long, partners long, other long"
+    if exact:
+        return shards.groupBy(*SHARD_KEY).applyInPandas(compare, result)
+
     def graph(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         a, b = build(_units(part["unit"]))
         cid = part["cid"].to_numpy()
@@ -304,19 +324,15 @@ def index_and_search(rows: DataFrame) -> DataFrame:
         x, cid = _units(part["unit"]), part["cid"].to_numpy()
         order = np.argsort(cid)
         a, b = (order[np.searchsorted(cid[order], graph[c].to_numpy())] for c in ("a", "b"))
-        found = search(x, *_adjacency(len(x), a, b))
-        root = _forest(found)
-        found &= _first_shared(part, key)
-        return pd.DataFrame({"cid": cid, "links": found @ part["n"].to_numpy(),
-                             "partners": found.sum(axis=1), "other": cid[root]})
+        return linked(cid, search(x, *_adjacency(len(x), a, b)), part, key)
 
-    return shards.groupBy(*SHARD_KEY).cogroup(edges.groupBy(*SHARD_KEY)).applyInPandas(
-        hunt, "cid long, links long, partners long, other long")
+    return shards.groupBy(*SHARD_KEY).cogroup(edges.groupBy(*SHARD_KEY)).applyInPandas(hunt, result)
 
 
 def audit(rows: DataFrame, totals: DataFrame, queries: int = AUDIT) -> float:
     """Share of the links of ``queries`` classes (by hash) that were found: brute force of these
-    vectors against all classes."""
+    vectors against all classes. The smaller one of the share of all their links and the mean share
+    of a class that has links, so a dense group doesn't hide sparse pairs."""
     asked = rows.orderBy(F.xxhash64("cid", F.lit(1))).limit(queries).toArrow()
     labels = asked.column("label").to_pylist()
     units = asked.column("unit").to_pylist()
@@ -333,14 +349,19 @@ def audit(rows: DataFrame, totals: DataFrame, queries: int = AUDIT) -> float:
                 if at := groups.get(tuple(key)):
                     s = np.array([units[i] for i in at]) @ np.stack(part["unit"]).T
                     n[at] += (s >= MIN_COSINE).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())], pa.int64())], ["n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n)), pa.int64()), pa.array(n)], ["i", "n"])
 
-    true = rows.select("label", "dim", "unit").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
-    true -= len(units)  # every class finds itself
+    cids = asked.column("cid").to_pylist()
+    true = np.zeros(len(cids))
+    for r in rows.select("label", "dim", "unit").mapInArrow(run, "i long, n long").groupBy("i").agg(
+            F.sum("n").alias("n")).collect():
+        true[r["i"]] = r["n"] - 1  # every class finds itself
     chosen = totals.join(F.broadcast(totals.sparkSession.createDataFrame(
-        [(c,) for c in asked.column("cid").to_pylist()], "cid long")), "cid")
-    got = chosen.agg(F.sum("partners")).first()[0] or 0
-    return got / true if true > 0 else 1.0
+        [(c,) for c in cids], "cid long")), "cid")
+    partners = {r["cid"]: r["partners"] for r in chosen.collect()}
+    got = np.array([partners.get(c, 0) for c in cids], float)
+    some = true > 0
+    return float(min(got[some].sum() / true[some].sum(), (got[some] / true[some]).mean())) if some.any() else 1.0
 
 
 def near_duplicates(vectors: DataFrame, overlap: int = 2) -> DataFrame:
@@ -355,13 +376,17 @@ def near_duplicates(vectors: DataFrame, overlap: int = 2) -> DataFrame:
                            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     k = min(MAX_CENTROIDS, -(-most // SHARD))
     centers = centroids(classes, n, k)
+    exact = False
     while True:
-        spread = stored(assigned(classes, centers, min(overlap, k)), "assigned")
-        found = stored(index_and_search(spread), "found")
+        spread = stored(assigned(classes, {} if exact else centers, min(overlap, k)), "assigned")
+        found = stored(index_and_search(spread, exact), "found")
         totals = found.groupBy("cid").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners"))
-        if overlap >= min(k, MAX_OVERLAP) or audit(spread, totals) >= RECALL:
+        if exact or audit(spread, totals) >= RECALL:
             break
-        overlap += 1
+        if overlap >= k:  # one cluster: every pair of a label meets in some pair of blocks
+            exact = True
+        else:
+            overlap = overlap + 1 if overlap < MAX_OVERLAP else 2 * overlap
     linked = connected_components(found.where("cid <> other").select("cid", "other"))
     named = classes.join(totals, "cid", "left").join(linked.withColumnRenamed("node", "cid"), "cid", "left") \
         .select("label", "embedding", "first", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),

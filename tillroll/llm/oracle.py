@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from tillroll.llm.common import LOWER, UPPER
 from tillroll.llm.mixing import BLOCK_DOCS, RESOLUTION
+from tillroll.llm.prefix_trie import HEADS, MODULUS
 from tillroll.llm.quality import MAX_DOCS, MAX_REPEAT_PCT, MAX_SHARE, MIN_LEFT, MIN_WORDS
+from tillroll.llm.spelling import EVERY, MIN_COUNT, MIN_LENGTH, RATIO
 
 #: Common table expressions over ``documents`` that end in ``judged``.
 QUALITY_CTES = rf"""
@@ -81,7 +83,89 @@ mixed AS (
   FROM ranked JOIN job ON ranked.s = job.s AND (rank // {BLOCK_DOCS}) % p = j)
 """
 
+#: The byte table of CRC-32, and the checksum of a list of bytes.
+CRC_TABLE = """
+crc_table AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), b))
+    AS crc_t)"""
+
+
+def crc32(codes: str) -> str:
+    return (f"xor(list_reduce({codes}, lambda a, b: xor(a >> 8, crc_t[(xor(a, b) & 255) + 1]), "
+            "4294967295), 4294967295)")
+
+
+#: Near words by the texts that remain when one letter is left out.
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+run AS (
+  SELECT d, r, count(*) AS k FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS d,
+      unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS r FROM documents)
+  WHERE length(r) >= {MIN_LENGTH} GROUP BY d, r),
+hashed AS (
+  SELECT r, k, {crc32("""flatten(list_transform(string_split(d || ':' || r, ''),
+      lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195, ord(x)::BIGINT - 64] END))""")} AS h
+  FROM run, crc_table),
+counted AS (
+  SELECT w, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % {EVERY} = 0 THEN substr(r, 1, (h % length(r))::BIGINT)
+      || substr(r, (h % length(r))::BIGINT + 2) ELSE r END AS w FROM hashed)
+  WHERE length(w) >= {MIN_LENGTH} GROUP BY w HAVING sum(k) >= {MIN_COUNT}),
+less AS (
+  SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) AS s
+  FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM counted)),
+near AS (
+  SELECT DISTINCT a.w, b.w AS v, b.n FROM less a JOIN less b ON a.s = b.s AND a.i = b.i AND a.w <> b.w
+  UNION SELECT DISTINCT a.w, b.w, b.n FROM less a JOIN counted b ON a.s = b.w
+  UNION SELECT DISTINCT b.w, a.w, a.n FROM less a JOIN counted b ON a.s = b.w),
+best AS (
+  SELECT w, count(*) AS n_near, max(n) AS top, arg_min(v, (-n, hex(encode(v)))) AS v FROM near GROUP BY w),
+formed AS (
+  SELECT c.w, c.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= {RATIO} * c.n THEN v END AS form,
+    CASE WHEN top >= {RATIO} * c.n THEN top END AS form_n
+  FROM counted c LEFT JOIN best USING (w)),
+chain(w, root, form) AS (
+  SELECT w, w, form FROM formed
+  UNION ALL SELECT c.w, f.w, f.form FROM chain c JOIN formed f ON c.form = f.w)
+SELECT f.w AS word, f.form, c.root, n, n_near, form_n FROM formed f JOIN chain c ON f.w = c.w AND c.form IS NULL"""
+
+TRIE_SQL = f"""
+WITH {CRC_TABLE},
+own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT c, c - c % {MODULUS} AS b, ({crc32("list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)")}
+    % {HEADS})::BIGINT AS h FROM (SELECT DISTINCT c FROM own), crc_table),
+head AS (SELECT conv.c, p AS d, role, text FROM conv JOIN own ON own.c = b AND p <= h),
+turn AS (
+  SELECT * FROM head
+  UNION ALL SELECT own.c, p - h + (SELECT count(*) FROM head WHERE head.c = own.c), role, text
+  FROM own JOIN conv USING (c) WHERE p > h),
+path AS (
+  SELECT c, d, strlen(text) AS bytes, count(*) OVER (PARTITION BY c) AS len,
+    string_agg(md5(strlen(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS k FROM turn),
+member AS (
+  SELECT c, d, bytes, len, k FROM path
+  UNION ALL SELECT conv.c, 0, 0, (SELECT count(*) FROM turn WHERE turn.c = conv.c), '' FROM conv),
+node AS (
+  SELECT k, any_value(d) AS d, min(c) AS c, count(*) AS n, (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(CASE WHEN len = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends
+  FROM member GROUP BY k),
+kids AS (SELECT substr(k, 1, 32 * (d::BIGINT - 1)) AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+up AS (
+  SELECT substr(k, 1, 32 * j) AS k, sum(saved) AS saved, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+  FROM (SELECT node.*, n_children, unnest(range(d::BIGINT + 1)) AS j FROM node LEFT JOIN kids USING (k)) GROUP BY 1)
+SELECT node.c AS conv_id, node.d::BIGINT AS depth, top.c AS parent_conv_id, node.n AS n_convs,
+  coalesce(n_children, 0) AS n_children, n_leaves, up.saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN up USING (k) LEFT JOIN kids USING (k)
+  LEFT JOIN node top ON node.d > 0 AND top.k = substr(node.k, 1, 32 * (node.d::BIGINT - 1))"""
+
 ORACLE_SQL = {
+    "op11_spelling_variants": SPELLING_SQL,
+    "op12_prefix_trie": TRIE_SQL,
     "op8_mixing": f"""WITH RECURSIVE {MIXING_CTES.replace('{docs}', 'documents')}
 SELECT doc_id, source, mix_block, mix_slot, mix_place FROM mixed""",
     "op7_quality_rules": f"""WITH {QUALITY_CTES.replace('{docs}', 'documents')}

@@ -13,8 +13,11 @@ from tillroll.llm import (
     language,
     lm_scoring,
     mixing,
+    prefix_trie,
     quality,
+    quality_model,
     simhash,
+    spelling,
     token_counts,
     toxicity,
 )
@@ -66,6 +69,18 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scoring": op2_lm_scoring,
@@ -77,4 +92,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_quality_classifier": op13_quality_classifier,
 }

@@ -15,7 +15,7 @@ of training documents that were left out of the descent, turns margins into scor
 Fit. At most ``MAX_TRAIN`` labelled documents, and at most ``MAX_TRAIN_CHARS`` characters of
 them, are used, those whose ids hash smallest (a bound on the fit only; every document is scored
 on its whole text). Spark hashes their features and counts them by class; the
-documents' distinct features, at most one for each two characters read, are the rows of the
+documents' distinct features (bounded by both, and ``BUCKETS`` a document) are the rows of the
 descent on the driver. The model is one weight a bucket.
 
 Cases: null labels, null texts and labels without a document are ignored in the fit; of several
@@ -104,14 +104,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     h = F.xxhash64("doc_id")
     if n > 2 * max_train:  # leaves well over max_train ids to the sort
         marked = marked.where(F.shiftrightunsigned(h, 33) < int((1 << 31) * 2.0 * max_train / n))
-    sized = usable.join(marked, "doc_id").groupBy("doc_id", "label").agg(
-        F.min(F.md5(F.col("text").cast("binary"))).alias("which"),
-        F.min(F.struct(F.md5(F.col("text").cast("binary")), F.length("text")))["col2"].alias("chars"))
+    # digests meet the labels; texts only the chosen ids
+    sizes = usable.select("doc_id", F.md5(F.col("text").cast("binary")).alias("which"),
+                          F.length("text").alias("chars"))
+    sized = sizes.join(marked, "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct("which", "chars")).alias("w")).select("doc_id", "label", "w.which", "w.chars")
     chosen = sized.orderBy(h, "doc_id").limit(max_train).withColumn("h", h)
     before = Window.orderBy("h", "doc_id")  # max_train narrow rows at most
     chosen = stored(chosen.withColumn("so_far", F.sum("chars").over(before)).where(
         F.col("so_far") <= max_chars).drop("so_far", "chars"), "quality-ids")
-    found = usable.join(chosen, "doc_id").where(F.md5(F.col("text").cast("binary")) == F.col("which"))
+    found = usable.join(F.broadcast(chosen), "doc_id").where(F.md5(F.col("text").cast("binary")) == F.col("which"))
     return found.select("doc_id", "label", "text", "h").dropDuplicates(["doc_id"])
 
 
@@ -152,7 +154,7 @@ def dual_descent(rows: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, pena
     bias = 0.0
     share = {s: len(y) / (2 * max(1, (y == s).sum())) for s in (-1, 1)}
     most = np.array([penalty * share[s] for s in y])
-    values = [scaled(r, ratios) for r in rows]
+    values = [scaled(r, ratios).astype(np.float32) for r in rows]
     alpha = np.zeros(len(rows))
     order = np.random.default_rng(0)
     for _ in range(epochs):
@@ -227,7 +229,9 @@ def train(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, penalty: f
     ratios = log_count_ratios(bagged, buckets)
     table = bagged.orderBy("h", "doc_id").select("label", "features").toArrow()  # within both bounds
     y = np.where(table.column("label").to_numpy() > 0, 1, -1)
-    rows = [np.asarray(c.as_py(), np.int64) for c in table.column("features")]
+    flat = table.column("features").combine_chunks()
+    ends = flat.offsets.to_numpy()
+    rows = [flat.values.to_numpy()[a:b] for a, b in zip(ends, ends[1:])]  # views, not copies
     left_out = np.arange(len(y)) % CALIBRATE == 0
     if len(set(y[~left_out])) < 2 or len(set(y[left_out])) < 2:
         left_out[:] = False  # too few rows to leave some out: the curve is fitted on all

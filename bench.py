@@ -28,6 +28,8 @@ HEADLINE = [
     "top10_amount_cur",
     "top10_amount_prev",
     "top10_receipt_prev",
+    "top10_stored_receipt_cur",
+    "top10_stored_amount_prev",
     "dashboard_region",
     "dashboard_period",
     "row_counts_report",

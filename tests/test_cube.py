@@ -148,10 +148,16 @@ def test_empty_input(spark):
     assert cube.count() == 0
 
 
-def test_checkpointed_cells_same_cube(spark, sf_small):
+def test_cells_and_rollups_are_stored(spark, sf_small):
     fact = sales_fact(spark, sf_small)
-    plain = sales_cube(fact)
-    cut = sales_cube(fact, checkpoint_cells=True)
-    plan = cut._jdf.queryExecution().optimizedPlan().toString()
-    assert "LogicalRDD" in plan and "Join" in plan and "lineitem" not in plan
-    assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0
+    cube = sales_cube(fact)
+    plan = cube._jdf.queryExecution().optimizedPlan().toString()
+    assert "lineitem" not in plan and plan.count("Relation") == 4  # the cells and three roll-ups
+
+
+def test_thousandths_add_up(spark):
+    df = spark.range(1000).selectExpr(
+        "id AS sale_id", "1 AS customer_id", "1 AS product_id", "1 AS quantity",
+        "DATE '2024-05-01' AS sale_date", "1.0D AS price_product", "0.004D AS sale_amount", "'N' AS region")
+    row = sales_cube(df).first()
+    assert row.sum_amount == 4 and row.avg_receipt == 0.0 and row.sum_amount_region == 4

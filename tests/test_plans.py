@@ -12,10 +12,11 @@ def _initial_plan(df):
 
 
 def test_cube_has_no_window_and_no_python(spark, sf_small):
-    plan = _initial_plan(QUERIES["sales_cube"](spark, sf_small))
-    assert "Window" not in plan
-    assert "Python" not in plan and "ArrowEval" not in plan
-    assert "HashAggregate" in plan
+    for name in ("sales_cube", "cell_aggregate", "dashboard_all"):
+        plan = _initial_plan(QUERIES[name](spark, sf_small))
+        assert "Window" not in plan
+        assert "Python" not in plan and "ArrowEval" not in plan
+        assert "HashAggregate" in plan or name == "sales_cube"  # of which the cells are stored
 
 
 def test_fact_joins_orders_by_shuffle(spark, sf_small):
@@ -39,13 +40,37 @@ def test_no_python_anywhere(spark, sf_small):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_cells_exchange_reused_and_rollups_broadcast(spark, sf_small):
-    df = QUERIES["sales_cube"](spark, sf_small)
-    df.collect()
-    final = df._jdf.queryExecution().executedPlan().toString()
-    assert "isFinalPlan=true" in final
-    # the cells' shuffle is read again by the three roll-ups, not recomputed
-    assert final.count("ReusedExchange") >= 3
-    # dimension roll-ups are small: AQE turns their joins into broadcasts
-    assert final.count("BroadcastHashJoin") >= 3
-    assert "Window" not in final
+SF_LARGE = "/root/testdata/sf0.1"
+
+
+def test_cells_are_not_dealt_by_a_dimension(spark):
+    df = QUERIES["sales_cube_part_grain"](spark, SF_LARGE)
+    df.write.format("noop").mode("overwrite").save()
+    for plan in (_plan(df), _initial_plan(df)):
+        # stored cells meet stored roll-ups whose bytes the planner knows before it runs
+        assert "Exchange hashpartitioning" not in plan and "ShuffleExchange" not in plan
+        assert plan.count("BroadcastHashJoin") >= 3 and "Window" not in plan
+
+
+def test_large_product_rollup_keeps_small_ones_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["sales_cube_part_grain"](spark, "/root/testdata/sf0.01")
+        plan = _initial_plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+    assert [x.count("product_id") > 0 for x in plan.splitlines() if "SortMergeJoin" in x] == [True]
+
+
+def test_counts_come_from_footers(spark, sf_small):
+    df = QUERIES["row_counts"](spark, sf_small)
+    plan = _initial_plan(df)
+    assert plan.count("PushedAggregation: [COUNT(*)]") + plan.count("BatchScan parquet") >= 14
+    assert "FileScan" not in plan
+    # a footer count of a table without the asked column, folders included
+    from tillroll.operators.monitoring import parquet_row_counts
+    counts = parquet_row_counts(spark, {"h": "/root/testdata/check_h/labels.parquet"}, "x").first()
+    assert counts.row_count == spark.read.parquet("/root/testdata/check_h/labels.parquet").count()

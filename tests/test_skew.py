@@ -9,7 +9,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tillroll.operators import contracts
+from tillroll.operators.cells import cell_aggregate, cells_with_tenths
 from tillroll.operators.dedup import dedup_full_row
+from tillroll.operators.rollups import grouped_rollups
 from tillroll.plans.cube import sales_cube
 from tillroll.sources.generator import generate_sales
 
@@ -39,9 +41,11 @@ def test_hot_cell_pre_aggregates(spark):
     base = generate_sales(spark, 6000, AS_OF, num_partitions=4)
     hot = base.where("region = 'North'").withColumn("product_id", F.lit(1)) \
         .withColumn("sale_date", F.lit(AS_OF - dt.timedelta(days=30)))
-    cube = sales_cube(hot.unionAll(base.where("region <> 'North'")))
-    plan = cube._jdf.queryExecution().sparkPlan().toString()
-    assert "partial_sum" in plan and "partial_count" in plan
+    sales = hot.unionAll(base.where("region <> 'North'"))
+    for aggregate in (cell_aggregate(sales), grouped_rollups(cells_with_tenths(sales), ["region", "product_id"])):
+        plan = aggregate._jdf.queryExecution().sparkPlan().toString()
+        assert "partial_sum" in plan and "partial_count" in plan
+    cube = sales_cube(sales)
     cell = cube.where("region = 'North'").collect()
     assert len(cell) == 1 and cell[0]["count_sales"] == base.where("region = 'North'").count()
 

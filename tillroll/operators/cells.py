@@ -9,7 +9,7 @@ Measures, as specified (rounded half up):
     sum_quantity          sum(quantity)
     avg_receipt_quantity  round(avg(quantity), 1)
 
-Amounts are summed as integer cents and every rounding is an integer
+Amounts are summed exactly, whatever their decimals, and every rounding is one integer
 division (``tillroll.functions.rounding``), so the result does not depend on
 summation order. Two hidden columns carry the rounded means in tenths for the
 roll-ups: ``_receipt10`` and ``_quantity10``.
@@ -21,12 +21,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.dates import DATE_PARTS_SQL
-from tillroll.functions.rounding import cents, half_up, tenths, toward_zero
+from tillroll.functions.rounding import (
+    EXACT_TOTAL,
+    exact_sums,
+    half_up,
+    tenths,
+    toward_zero,
+    total_tenths,
+)
 from tillroll.schemas import CELL_MEASURES, CUBE_KEYS
 
 HIDDEN = ["_receipt10", "_quantity10"]
 
-_RECEIPT10 = half_up("_cents", "nullif(_n_amount, 0) * 10")
+_RECEIPT10 = total_tenths("nullif(_n_amount, 0)")
 _QUANTITY10 = half_up("sum_quantity * 10", "nullif(_n_quantity, 0)")
 
 
@@ -45,18 +52,22 @@ def cells_with_tenths(sales: DataFrame) -> DataFrame:
         "region", "product_id",
         F.expr("year(sale_date) AS sale_year"), F.expr("month(sale_date) AS num_month"),
     ).agg(
-        F.expr(f"sum({cents('sale_amount')}) AS _cents"),
+        *[F.expr(e).alias(n) for n, e in exact_sums(
+            "sale_amount", sales.schema["sale_amount"].dataType).items()],
         F.expr("count(sale_amount) AS _n_amount"),
         F.expr("count(sale_date) AS count_sales"),
         F.expr("CAST(sum(quantity) AS BIGINT) AS sum_quantity"),
         F.expr("count(quantity) AS _n_quantity"),
     )
+    for step in EXACT_TOTAL:
+        sums = sums.withColumns({n: F.expr(e) for n, e in step.items()})
+    sum10 = f"CASE WHEN _n_amount > 0 THEN {total_tenths('1')} END"
     return sums.selectExpr(
         "region", "product_id",
         "date_format(make_date(sale_year, num_month, 1), 'MMMM') AS sale_month",
         "num_month", "sale_year",
         f"{tenths(_RECEIPT10)} AS avg_receipt",
-        f"{toward_zero(half_up('_cents', '10'), '10')} AS sum_amount",
+        f"{toward_zero(sum10, '10')} AS sum_amount",
         "count_sales",
         "sum_quantity",
         f"{tenths(_QUANTITY10)} AS avg_receipt_quantity",

@@ -7,13 +7,14 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.schemas import REGION_MAX_LENGTH, ROWSTORE_SALES_TYPES, cube_types, ddl
+from tillroll.schemas import REGION_MAX_LENGTH, ROWSTORE_SALES_TYPES, cube_types, ddl, value_type
+from tillroll.session import stored
 
 
 def cast_to(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Select ``types``' columns in its order, cast to its types. ANSI casts:
     a value that does not fit raises instead of turning null."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
+    return df.select(*[F.col(c).cast(value_type(t)).alias(c) for c, t in types.items()])
 
 
 def sales_contract(sales: DataFrame) -> DataFrame:
@@ -61,6 +62,44 @@ def pk_violations(df: DataFrame, key: str = "sale_id") -> DataFrame:
     return counts.where((F.col("n") > 1) | F.col(key).isNull())
 
 
+#: Bytes of a bitmap of one bucket of Spark's ``bitmap_*`` functions, and of a key in a shuffle.
+BITMAP_BYTES, KEY_BYTES = 4096, 8
+
+
+def pk_violations_by_range(df: DataFrame, key: str = "sale_id") -> DataFrame:
+    """``pk_violations`` of an integer key (SQL text over the columns of ``df``, which reads files)
+    without a shuffle of the keys, where the files hold narrow key ranges.
+
+    One aggregate gives each file's key range. Where the ranges are narrow, every range of
+    32,768 keys gets the number of its rows and the bitmap of its keys, combined in the tasks
+    before the shuffle: a range has a repeated key exactly if it has more rows than bits. Only rows
+    of such ranges are grouped by key. Where the files' ranges are so wide that
+    the bitmaps would outweigh the keys, the keys are grouped as they are.
+    """
+    spark = df.sparkSession
+    value = F.expr(key)
+    out = key if key.isidentifier() else "key"
+    files = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(value).alias("least"), F.max(value).alias("most"), F.count(value).alias("n"),
+        F.count_if(value.isNull()).alias("nulls")).selectExpr(
+        "sum(n) AS n", "sum(nulls) AS nulls",
+        "sum(bitmap_bucket_number(most) - bitmap_bucket_number(least) + 1) AS buckets").first()
+    keys = df.select(value.alias(out))
+    if not files["n"] or files["buckets"] * BITMAP_BYTES > files["n"] * KEY_BYTES:
+        return pk_violations(keys, out)
+    filled = keys.where(F.col(out).isNotNull()).withColumn("_bucket", F.bitmap_bucket_number(out))
+    ranges = filled.groupBy("_bucket").agg(
+        F.count("*").alias("n"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(out))).alias("bits"))
+    repeated = stored(ranges.where("n > bits").select("_bucket"), "key-ranges")
+    kind = keys.schema[out].dataType.simpleString()
+    found = spark.createDataFrame([(None, files["nulls"])] if files["nulls"] else [],
+                                  f"{out} {kind}, n bigint")
+    if repeated.isEmpty():
+        return found
+    return pk_violations(filled.join(repeated, "_bucket").select(out), out).union(found)
+
+
 def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows written before and after columns were added: by name, with the
     missing columns null."""

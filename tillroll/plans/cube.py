@@ -4,32 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tillroll.operators.cells import HIDDEN, cells_with_tenths
+from tillroll.operators.cells import cells_with_tenths
 from tillroll.operators.dedup import dedup_full_row
 from tillroll.operators.rollups import add_rollups
 from tillroll.schemas import CELL_MEASURES, CUBE_KEYS, DIMENSIONS, rollup_columns
+from tillroll.session import stored
 
 
 def sales_cube(sales: DataFrame, dims: list[str] | None = None, dedup: bool = True,
-               checkpoint_cells: bool = False) -> DataFrame:
+               folder: str | None = None) -> DataFrame:
     """The cube of the weekly job, in the stored column order.
 
     ``dims`` limits the roll-ups to the dimensions a caller needs (the top-k
     queries need only ``product_id``); the default builds all three.
     ``dedup=False`` is for inputs whose primary key was enforced on write.
-    ``checkpoint_cells=True`` writes the cells to the session's checkpoint
-    folder (``spark.checkpoint.dir``, shared storage on a cluster) before the
-    roll-ups read them: for very large cubes (e.g. one product per part), a
-    lost executor then costs a re-read of the cells, not a re-run of the
-    de-duplication. It runs one job when called.
+
+    Two jobs run when it is called: one stores the cells, one the roll-ups, in ``folder`` (by
+    default the application's below ``spark.checkpoint.dir``). The result joins the two, so
+    no cell is shuffled again, and a lost executor costs a re-read of the cells, not a
+    re-run of the de-duplication.
     """
-    dims = list(DIMENSIONS) if dims is None else dims
+    dims = [d for d in DIMENSIONS if dims is None or d in dims]
     rows = dedup_full_row(sales) if dedup else sales
-    cells = cells_with_tenths(rows)
-    if checkpoint_cells:
-        cells = cells.checkpoint(eager=True)
-    cube = add_rollups(cells, [d for d in DIMENSIONS if d in dims]).drop(*HIDDEN)
-    columns = CUBE_KEYS + CELL_MEASURES + [c for d in DIMENSIONS if d in dims
-                                           for c in rollup_columns(d)]
-    # the joins append each roll-up in dimension order: already the stored order
-    return cube if cube.columns == columns else cube.select(*columns)
+    cells = stored(cells_with_tenths(rows), "cells", folder)
+    cube = add_rollups(cells, dims, folder) if dims else cells
+    return cube.select(*CUBE_KEYS, *CELL_MEASURES, *(c for d in dims for c in rollup_columns(d)))

@@ -9,8 +9,8 @@ HUGEINT).
 
 from __future__ import annotations
 
-from tillroll.plans.registry import AS_OF, SOURCE, TOP_K
-from tillroll.schemas import CELL_MEASURES, CUBE_KEYS, DIMENSIONS, cube_types
+from tillroll.plans.registry import AS_OF, BROKEN, SOURCE, STORES, TOP_K
+from tillroll.schemas import CELL_MEASURES, CUBE_KEYS, DIMENSIONS, cube_types, value_type
 from tillroll.sources.testdata import TABLES
 
 
@@ -18,7 +18,11 @@ def half_up(num: str, den: str) -> str:
     return f"(sign({num}) * ((2 * abs({num}) + ({den})) // (2 * ({den}))))"
 
 
-def fact_sql(grain: str = "brand") -> str:
+FINE_AMOUNT = ("CAST(CAST(l.l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) "
+               "* (1 + CAST(l.l_tax AS DECIMAL(4,2))) AS DOUBLE)")
+
+
+def fact_sql(grain: str = "brand", amount: str = "l.l_extendedprice") -> str:
     pid = ("CAST(regexp_extract(p.p_brand, '([0-9]+)', 1) AS INTEGER)" if grain == "brand"
            else "p.p_partkey")
     return f"""
@@ -28,7 +32,7 @@ def fact_sql(grain: str = "brand") -> str:
            CAST(l.l_quantity AS INTEGER) AS quantity,
            CAST(l.l_shipdate AS DATE) AS sale_date,
            p.p_retailprice AS price_product,
-           l.l_extendedprice AS sale_amount,
+           {amount} AS sale_amount,
            r.r_name AS region
     FROM lineitem l
     JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -38,14 +42,16 @@ def fact_sql(grain: str = "brand") -> str:
     JOIN part p ON l.l_partkey = p.p_partkey"""
 
 
-def cells_sql(rows: str, cents: str = "CAST(round(sale_amount * 100) AS BIGINT)") -> str:
-    """Cells of the distinct rows of ``rows`` (a statement), with r10 / q10."""
-    receipt10 = half_up("cents", "nullif(n_amount, 0) * 10")
+def cells_sql(rows: str, unit: int = 100) -> str:
+    """Cells of the distinct rows of ``rows`` (a statement), with r10 / q10. Amounts are summed as
+    whole counts of ``1 / unit``."""
+    tenth = unit // 10
+    receipt10 = half_up("cents", f"nullif(n_amount, 0) * {tenth}")
     quantity10 = half_up("sum_quantity * 10", "nullif(n_quantity, 0)")
     return f"""
     SELECT region, product_id, sale_month, num_month, sale_year,
            {receipt10} / 10.0::DOUBLE AS avg_receipt,
-           sign(cents) * (((2 * abs(cents) + 10) // 20) // 10) AS sum_amount,
+           sign(cents) * (((2 * abs(cents) + {tenth}) // {2 * tenth}) // 10) AS sum_amount,
            count_sales, sum_quantity,
            {quantity10} / 10.0::DOUBLE AS avg_receipt_quantity,
            {receipt10} AS r10, {quantity10} AS q10
@@ -54,7 +60,7 @@ def cells_sql(rows: str, cents: str = "CAST(round(sale_amount * 100) AS BIGINT)"
              monthname(sale_date) AS sale_month,
              CAST(month(sale_date) AS INTEGER) AS num_month,
              CAST(year(sale_date) AS INTEGER) AS sale_year,
-             CAST(sum({cents}) AS BIGINT) AS cents,
+             CAST(sum(CAST(round(sale_amount * {unit}) AS BIGINT)) AS BIGINT) AS cents,
              count(sale_amount) AS n_amount,
              count(sale_date) AS count_sales,
              CAST(sum(quantity) AS BIGINT) AS sum_quantity,
@@ -83,6 +89,7 @@ def cube_sql(rows: str, dims=None, **kw) -> str:
 
 FACT = fact_sql()
 CUBE = cube_sql(FACT)
+UNDATED = f"SELECT * REPLACE (CASE WHEN sale_id % 7 <> 0 THEN sale_date END AS sale_date) FROM ({FACT})"
 AS_OF_SQL = f"DATE '{AS_OF.isoformat()}'"
 
 TOP_METRICS = {"receipt": ("avg_receipt_product_id", "avg_receipt"),
@@ -128,6 +135,45 @@ def dashboard_sql(dim: str, extra: str = "") -> str:
     return f"SELECT DISTINCT {keys}{extra}, {cols} FROM ({CUBE})"
 
 
+def dashboard_all_sql() -> str:
+    receipt = half_up("sum(r10)", "nullif(count(r10), 0)")
+    quantity = half_up("sum(q10)", "nullif(count(q10), 0)")
+    return f"""
+    SELECT CASE g WHEN 7 THEN 'region' WHEN 11 THEN 'product_id' WHEN 12 THEN 'month_year' ELSE 'total' END
+             AS dim,
+           region, product_id, sale_month, sale_year, CASE WHEN g = 12 THEN nm END AS num_month,
+           avg_receipt, sum_amount, count_sales, sum_quantity, avg_receipt_quantity
+    FROM (
+      SELECT grouping_id(region, product_id, sale_month, sale_year) AS g,
+             region, product_id, sale_month, sale_year, max(num_month) AS nm,
+             {receipt} / 10.0::DOUBLE AS avg_receipt, CAST(sum(sum_amount) AS BIGINT) AS sum_amount,
+             CAST(sum(count_sales) AS BIGINT) AS count_sales,
+             CAST(sum(sum_quantity) AS BIGINT) AS sum_quantity,
+             {quantity} / 10.0::DOUBLE AS avg_receipt_quantity
+      FROM ({cells_sql(FACT)})
+      GROUP BY GROUPING SETS ((region), (product_id), (sale_month, sale_year), ()))"""
+
+
+def csv_rejects_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, count(*) AS n_rows FROM ({FACT}) WHERE {cond} HAVING count(*) > 0"
+             for c, (cond, _) in BROKEN.items()]
+    good = " AND ".join(f"NOT ({cond})" for cond, _ in BROKEN.values())
+    return " UNION ALL ".join([f"SELECT '-' AS column_name, count(*) AS n_rows FROM ({FACT}) WHERE {good}",
+                               *parts])
+
+
+def message_sql() -> str:
+    blocks = []
+    for store, tables in STORES.items():
+        counts = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in tables)
+        blocks.append(f"""(SELECT '*{store.title()}* (итого строк: `' || format('{{:,}}', CAST(sum(n) AS BIGINT))
+          || '`):' || chr(10) || string_agg('  • `' || t || '`: `' || format('{{:,}}', n) || '`', chr(10)
+          ORDER BY t) FROM ({counts}))""")
+    return f"""SELECT 'Rows' || chr(10) || chr(10) || '📅 Дата и время импорта: `'
+      || (SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events) || '`' || chr(10) || chr(10)
+      || {" || chr(10) || chr(10) || ".join(blocks)} AS message"""
+
+
 def _typed_cube(store: str, import_date: str | None) -> str:
     types = cube_types(store)
     cols = []
@@ -135,7 +181,7 @@ def _typed_cube(store: str, import_date: str | None) -> str:
         if c == "import_date":
             cols.append(f"CAST({import_date} AS DATE) AS import_date")
         else:
-            cols.append(f"CAST({c} AS {t.upper().replace('STRING', 'VARCHAR')}) AS {c}")
+            cols.append(f"CAST({c} AS {value_type(t).upper().replace('STRING', 'VARCHAR')}) AS {c}")
     return f"SELECT {', '.join(cols)} FROM ({CUBE})"
 
 
@@ -157,6 +203,14 @@ ORACLE_SQL: dict[str, str] = {
     "rollup_month_year": cube_sql(FACT, ["month_year"]),
     "rollup_product": cube_sql(FACT, ["product_id"]),
     "sales_cube_part_grain": cube_sql(fact_sql("part")),
+    "sales_cube_fine": cube_sql(fact_sql(amount=FINE_AMOUNT), unit=1_000_000),
+    "sales_cube_twice": cube_sql(f"{FACT} UNION ALL {FACT}"),
+    "sales_cube_undated": cube_sql(UNDATED),
+    "dedup_by_digest": f"SELECT DISTINCT * FROM ({FACT})",
+    "top10_stored_receipt_cur": top_sql("receipt", 0),
+    "top10_stored_amount_cur": top_sql("amount", 0),
+    "top10_stored_amount_prev": top_sql("amount", 1),
+    "top10_stored_receipt_prev": top_sql("receipt", 1),
     "top10_receipt_cur": top_sql("receipt", 0),
     "top10_amount_cur": top_sql("amount", 0),
     "top10_amount_prev": top_sql("amount", 1),
@@ -172,6 +226,7 @@ ORACLE_SQL: dict[str, str] = {
                                    chr(10) ORDER BY table_name), ''),
                  '  • (нет таблиц)') AS report
         FROM ({ROW_COUNTS}) GROUP BY source""",
+    "row_counts_message": message_sql(),
     "latest_import": f"""SELECT max(CASE WHEN sale_year = {AS_OF.year} THEN {AS_OF_SQL}
                                 ELSE CAST({AS_OF_SQL} - INTERVAL 7 DAY AS DATE) END) AS latest_import
         FROM ({CUBE})""",
@@ -190,6 +245,10 @@ ORACLE_SQL: dict[str, str] = {
     "pk_violations": """SELECT sale_id, n FROM (
         SELECT l_orderkey * 10 + l_linenumber AS sale_id, count(*) AS n FROM lineitem GROUP BY 1)
         WHERE n > 1 OR sale_id IS NULL""",
+    "pk_violations_by_range": """SELECT sale_id, n FROM (
+        SELECT l_orderkey * 10 + l_linenumber AS sale_id, count(*) AS n FROM lineitem GROUP BY 1)
+        WHERE n > 1 OR sale_id IS NULL""",
+    "csv_rejects": csv_rejects_sql(),
     "schema_evolution": f"""SELECT *, {_NULLS_FOR_ROLLUPS} FROM ({_CELLS_10})
         UNION ALL BY NAME {CUBE}""",
     "orders_lookup": """SELECT c_custkey, n_orders FROM customer LEFT JOIN (
@@ -211,5 +270,6 @@ ORACLE_SQL: dict[str, str] = {
     "dashboard_region": dashboard_sql("region"),
     "dashboard_product": dashboard_sql("product_id"),
     "dashboard_period": dashboard_sql("month_year", ", num_month"),
+    "dashboard_all": dashboard_all_sql(),
     "ts_text": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events",
 }

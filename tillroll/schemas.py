@@ -58,7 +58,7 @@ ROWSTORE_SALES_TYPES = {
     "sale_date": "date",
     "price_product": "decimal(10,2)",
     "sale_amount": "decimal(12,2)",
-    "region": "string",
+    "region": "varchar(10)",
 }
 
 
@@ -73,7 +73,9 @@ def _measure_type(measure: str, store: str) -> str:
 
 def cube_types(store: str) -> dict[str, str]:
     """Column -> SQL type of the cube in ``store`` ('rowstore' or 'warehouse')."""
-    types = {"region": "string", "product_id": "int", "sale_month": "string",
+    rowstore = store == "rowstore"
+    types = {"region": "varchar(10)" if rowstore else "string", "product_id": "int",
+             "sale_month": "varchar(20)" if rowstore else "string",
              "num_month": "int", "sale_year": "int"}
     for measure in CELL_MEASURES:
         types[measure] = _measure_type(measure, store)
@@ -86,6 +88,12 @@ def cube_types(store: str) -> dict[str, str]:
     return types
 
 
+def value_type(sql_type: str) -> str:
+    """The type of a column's values: a length limit belongs to the table alone, whose writer
+    checks it."""
+    return "string" if sql_type.startswith("varchar") else sql_type
+
+
 def ddl(types: dict[str, str]) -> str:
     """Column list of a CREATE / ALTER TABLE statement: ``name type, ...``."""
     return ", ".join(f"{c} {t}" for c, t in types.items())

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Options every job in this package assumes.
 SQL_OPTIONS = {
@@ -71,3 +72,40 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
         return current
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below ``spark.checkpoint.dir``, which all executors share.
+    A local session without that setting gets a temporary folder; elsewhere its absence
+    raises, since a folder of the driver's machine is no use to other hosts."""
+    current = checkpoint_dir(spark)
+    if not current:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        current = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tillroll-"))
+    return f"{current.rstrip('/')}/tillroll/{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    It cuts the lineage (a lost executor only repeats its own tasks), and the planner knows
+    the size of what comes next. Each call has a folder of its own; ``remove_stored`` removes
+    them when the results that read them have been written.
+    """
+    spark = df.sparkSession
+    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, location: str):
+    """(Hadoop's file system of a location, its path)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_stored(spark: SparkSession, folder: str | None = None) -> None:
+    """Remove ``folder``, by default all stored tables of this application."""
+    fs, path = file_system(spark, folder or shared_folder(spark))
+    fs.delete(path, True)

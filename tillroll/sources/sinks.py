@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.operators.contracts import add_missing_columns, create_table_if_absent
-from tillroll.schemas import SALES_COLUMNS
+from tillroll.schemas import CUBE_COLUMNS, SALES_COLUMNS, cube_types, ddl, value_type
+from tillroll.session import file_system
 
 
 def write_sales_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
@@ -40,6 +41,10 @@ def write_parquet(df: DataFrame, path: str, cluster_by: list[str] | None = None,
     writer.parquet(path)
 
 
+#: Table property: the folder of the version before.
+PREVIOUS = "tillroll.previous"
+
+
 def _detail(spark: SparkSession, table: str) -> dict[str, str]:
     """The catalog's entries for a table (``Location``, ``Provider``, ...)."""
     return {r.col_name: r.data_type
@@ -52,8 +57,24 @@ def _switch(spark: SparkSession, table: str, location: str) -> None:
 
 
 def _remove(spark: SparkSession, location: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    fs, path = file_system(spark, location)
+    fs.delete(path, True)
+
+
+#: Months are the folders of a stored cube; inside, rows lie by product and region.
+CUBE_FOLDERS = ["sale_year", "num_month"]
+
+
+def write_cube(cube: DataFrame, path: str) -> None:
+    """The cube as a store for queries by month: a folder a month, which a filter on year and month
+    number picks without opening the others. A large month is several files."""
+    write_parquet(cube, path, [*CUBE_FOLDERS, "product_id", "region"], CUBE_FOLDERS)
+
+
+def read_cube(spark: SparkSession, path: str) -> DataFrame:
+    types = cube_types("warehouse")
+    schema = ddl({c: types[c] for c in CUBE_COLUMNS})
+    return spark.read.schema(schema).parquet(path).select(*CUBE_COLUMNS)
 
 
 def refresh_table(spark: SparkSession, df: DataFrame, table: str, types: dict[str, str],
@@ -65,35 +86,45 @@ def refresh_table(spark: SparkSession, df: DataFrame, table: str, types: dict[st
     evolution: nothing is dropped or retyped) and casts the rows to the contract.
 
     Each version is written to a folder of its own beside the table's first
-    one. When it is complete, ``check`` gets the written rows and may raise;
-    then one catalog change (``SET LOCATION``) switches the table to it, and only
-    after that the old version is removed. A run that stops at any step
-    leaves the table with all old or all new rows, and at most a folder that no
-    table points to. ``df`` may read the table it replaces. Statistics are
+    one, through a table of the same column types, so that the catalog's own checks hold
+    (a text longer than its ``varchar`` is refused). When it is complete, ``check`` gets the
+    written rows and may raise; then one catalog change (``SET LOCATION``) switches the table
+    to it. The version before stays for readers that began on it, until the next refresh.
+    A run that stops at any step leaves the table with all old or all new rows, and at most a
+    folder and the entry of the table (``<table>__v...``) that wrote it. ``df`` may read the table it replaces. Statistics are
     computed after the switch.
     """
     create_table_if_absent(spark, table, types, fmt)
     add_missing_columns(spark, table, types)
     known = {c.lower(): c for c in types}
     schema = spark.read.table(table).schema
-    columns = []
+    columns, kinds = [], {}
     for field in schema.fields:
         name = known.get(field.name.lower())
         # A column the table has but the contract no longer lists stays, empty.
-        columns.append(F.col(name).cast(types[name]).alias(field.name) if name
+        columns.append(F.col(name).cast(value_type(types[name])).alias(field.name) if name
                        else F.lit(None).cast(field.dataType).alias(field.name))
+        kinds[field.name] = types[name] if name else field.dataType.simpleString()
     detail = _detail(spark, table)
     old, provider = detail["Location"].rstrip("/"), detail["Provider"]
-    new = f"{re.sub('__v[0-9a-f]{32}$', '', old)}__v{uuid.uuid4().hex}"
+    version = uuid.uuid4().hex
+    new, staging = f"{re.sub('__v[0-9a-f]{32}$', '', old)}__v{version}", f"{table}__v{version}"
     try:
-        clustered(df.select(*columns), cluster_by).write.format(provider).save(new)
+        spark.sql(f"CREATE TABLE {staging} ({ddl(kinds)}) USING {provider} LOCATION '{new}'")
+        try:
+            clustered(df.select(*columns), cluster_by).write.insertInto(staging)
+        finally:
+            spark.sql(f"DROP TABLE {staging}")  # its files stay: the location was given
         if check:
             check(spark.read.format(provider).schema(schema).load(new))
     except Exception:
         _remove(spark, new)
         raise
     _switch(spark, table, new)
-    _remove(spark, old)
+    before = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(PREVIOUS)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{PREVIOUS}' = '{old}')")
+    if before:
+        _remove(spark, before)
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 

@@ -23,8 +23,25 @@ TABLES = [
 ]
 
 
+#: The schemas of the star tables. Given to the reader they save a footer job a table.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +73,13 @@ def products(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFram
         "p_partkey", f"{pid} AS product_id", "p_retailprice AS price_product")
 
 
-def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFrame:
+#: ``sale_amount`` after discount and tax: up to six decimals.
+FINE_AMOUNT = ("CAST(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) "
+               "* (1 + CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE)")
+
+
+def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand",
+               amount: str = "l_extendedprice") -> DataFrame:
     """The 8-column sales fact: line items joined to their orders (with the
     customer's region) and to their parts.
 
@@ -66,7 +89,8 @@ def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFr
     which broadcasts them only below its size threshold.
     """
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_shipdate")
     return (
         lines.join(order_regions(spark, sf_dir).hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(products(spark, sf_dir, grain), F.expr("l_partkey = p_partkey"))
@@ -77,7 +101,7 @@ def sales_fact(spark: SparkSession, sf_dir: str, grain: str = "brand") -> DataFr
             "CAST(l_quantity AS INT) AS quantity",
             "CAST(l_shipdate AS DATE) AS sale_date",
             "price_product",
-            "l_extendedprice AS sale_amount",
+            f"{amount} AS sale_amount",
             "region",
         )
     )

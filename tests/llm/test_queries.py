@@ -42,3 +42,56 @@ def test_pipeline_against_its_decisions(spark, sf_small):
     result = corpus_pipeline.run(spark, sf_small)
     assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert sorted(r.doc_id for r in result.collect()) == sorted(min(g) for g in groups.values())
+
+
+def boilerplate_docs(spark):
+    """Hosts with lines in many documents: some documents lose lines, some nearly all their words."""
+    own = str.maketrans("0123456789", "abcdefghij")  # digits are one in a line's normal form
+    prose = lambda i, k: " ".join(f"w{i}x{j}".translate(own) for j in range(k))
+    menu = "Home  News\tAbout 12 contact us and many other words that repeat on each page of it"
+    more = [" ".join(f"{w}{k}" for w in menu.split()) for k in "xyz"]
+    rows = []
+    for i in range(120):
+        lines = [prose(i, 60), prose(i + 1000, 5)]
+        if i % 3 == 0:  # 40 documents of host a, in other spacing, case and digits
+            lines.insert(1, menu.upper().replace("12", str(i % 10) + "7") + " ")
+        if i % 4 == 0:
+            lines.insert(0, "")
+        rows.append((i, "\n".join(lines), None, "a" if i < 100 else None, 1))
+    for i in range(200, 230):  # mostly the menu
+        rows.append((i, "\n".join([menu, *more, prose(i, 20)]), None, "a", 1))
+    rows += [(300 + i, "\n".join([menu] * 8), None, "b", 1) for i in range(25)]  # copies: one document
+    rows += [(400, None, None, "a", 1), (401, "", None, "a", 1), (402, " \n\t\n", None, None, 1), rows[0], rows[110]]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def test_quality_rules_where_they_bite(spark):
+    import duckdb
+
+    from tillroll.llm.oracle import QUALITY_CTES
+    docs = boilerplate_docs(spark)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = con.execute(ORACLE_SQL["op7_quality_rules"])
+    names = [d[0] for d in want.description]
+    got = [tuple(r) for r in quality.quality_rules(docs).select(*names).collect()]
+    assert sorted(got, key=str) == sorted(want.fetchall(), key=str)
+    verdicts = {r[0]: dict(zip(names, r)) for r in got}
+    depleted = {i for i, v in verdicts.items() if not v["base_failed"] and not v["kept"]}
+    assert depleted == set(range(200, 230))  # of host b every document is a copy: nothing is common there
+    texts = con.execute(f"WITH {QUALITY_CTES.replace('{docs}', 'documents')} SELECT doc_id, t, clean_text "
+                        "FROM doc LEFT JOIN gone USING (r)").fetchall()
+    changed = {i for i, t, c in texts if c is not None and t != c}
+    assert len(changed) == 34 + 30
+    rebuilt = {r.doc_id: r.clean_text for r in quality.cleaned(docs).collect()}
+    assert all(rebuilt[i] == (t if c is None else c) for i, t, c in texts if i != 400) and rebuilt[400] is None
+    kept = {r.doc_id: r.text for r in quality.keep_good(docs).collect()}
+    assert set(kept) == {i for i, v in verdicts.items() if v["kept"]}
+    assert all(kept[i] == rebuilt[i] for i in kept)
+
+
+def test_cleaned_with_a_column_of_its_own_names(spark):
+    docs = boilerplate_docs(spark).selectExpr("*", "1 AS gone", "'x' AS row", "2 AS clean_text", "3 AS host")
+    got = quality.cleaned(docs)
+    assert got.columns == [*(c for c in docs.columns if c != "clean_text"), "clean_text"]
+    assert {r.gone for r in got.collect()} == {1}

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.session import ensure_checkpoint_dir
+from tillroll import session
 
 #: The white space that separates words, as a Java/RE2 class.
 WHITE = r"[\x20\x09-\x0D]"
@@ -21,23 +22,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which all executors share; a
-    temporary folder is set only where the session has none (local tests)."""
-    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tillroll-llm-"))
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    It cuts the lineage (a lost executor only repeats its own tasks), and the
-    planner knows the size of what comes next. One folder per call, below
-    ``<spark.checkpoint.dir>/tillroll-llm``; remove it when the job has ended.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tillroll-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written as Parquet and read back (``tillroll.session.stored``), in the folder of the
+    ``scratch`` block that runs, by default the application's below ``spark.checkpoint.dir``."""
+    return session.stored(df, name, _SCRATCH.get())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside the block go when it ends; a result that reads them must be
+    written by then."""
+    folder = f"{session.shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        session.remove_stored(spark, folder)
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:

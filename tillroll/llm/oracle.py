@@ -8,7 +8,11 @@ from tillroll.llm.prefix_trie import HEADS, MODULUS
 from tillroll.llm.quality import MAX_DOCS, MAX_REPEAT_PCT, MAX_SHARE, MIN_LEFT, MIN_WORDS
 from tillroll.llm.spelling import EVERY, MIN_COUNT, MIN_LENGTH, RATIO
 
-#: Common table expressions over ``documents`` that end in ``judged``.
+#: A line ``x`` in its normal form.
+NORMAL = rf"""trim(regexp_replace(translate(x, '{UPPER}123456789', '{LOWER}000000000'),
+      '[\x20\x09-\x0D]+', ' ', 'g'), ' ')"""
+
+#: Common table expressions over ``documents`` that end in ``judged``; ``gone`` has the rebuilt texts.
 QUALITY_CTES = rf"""
 doc AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS t
@@ -30,24 +34,26 @@ raw_line AS (
   WHERE regexp_matches(x, '[^\x20\x09-\x0D]')),
 dup AS (SELECT r, count(*) - count(DISTINCT x) AS n_dup_lines FROM raw_line GROUP BY r),
 line AS (
-  SELECT r, y, ('0x' || substr(md5(y), 1, 15))::BIGINT AS h, len(string_split(y, ' ')) AS n FROM (
-    SELECT r, trim(regexp_replace(translate(x, '{UPPER}123456789', '{LOWER}000000000'),
-      '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS y FROM raw_line)),
-kin AS (SELECT r, min(h) AS kin FROM line GROUP BY r),
-holder AS (SELECT DISTINCT host, h, kin FROM line JOIN doc USING (r) JOIN kin USING (r)),
-hosts AS (SELECT host, count(DISTINCT kin) AS host_docs FROM holder GROUP BY host),
+  SELECT r, ('0x' || substr(md5({NORMAL}), 1, 15))::BIGINT AS h FROM raw_line),
+holder AS (SELECT DISTINCT host, h, md5(t) AS content FROM line JOIN doc USING (r)),
+hosts AS (SELECT host, count(DISTINCT content) AS host_docs FROM holder GROUP BY host),
 common AS (
-  SELECT host, h FROM (SELECT host, h, count(*) AS n_docs FROM holder GROUP BY host, h) JOIN hosts USING (host)
-  WHERE n_docs > {MAX_DOCS} AND n_docs > {MAX_SHARE}::DOUBLE * host_docs),
+  SELECT host, list(h) AS gone FROM (SELECT host, h, count(*) AS n_docs FROM holder GROUP BY host, h)
+  JOIN hosts USING (host)
+  WHERE n_docs > {MAX_DOCS} AND n_docs > {MAX_SHARE}::DOUBLE * host_docs GROUP BY host),
+cleaned AS (
+  SELECT r, array_to_string(list_filter(string_split(t, chr(10)), lambda x: NOT list_contains(gone,
+    ('0x' || substr(md5({NORMAL}), 1, 15))::BIGINT)), chr(10)) AS clean_text FROM doc JOIN common USING (host)),
 gone AS (
-  SELECT r, sum(n) AS removed FROM line JOIN doc USING (r) JOIN common USING (host, h) GROUP BY r),
+  SELECT r, clean_text, len(list_filter(regexp_split_to_array(clean_text, '[\x20\x09-\x0D]+'),
+    lambda x: x <> '')) AS n_left FROM cleaned),
 judged AS (
   SELECT r, doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
     (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
     coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     coalesce(n_words, 0) < {MIN_WORDS}
       OR 100 * coalesce(n_repeat_words, 0) > {MAX_REPEAT_PCT} * coalesce(n_words, 0) AS base_failed,
-    coalesce(n_words - removed < {MIN_LEFT}::DOUBLE * n_words, false) AS depleted
+    coalesce(n_left < {MIN_LEFT}::DOUBLE * n_words, false) AS depleted
   FROM doc LEFT JOIN counted USING (r) LEFT JOIN covered USING (r) LEFT JOIN dup USING (r)
     LEFT JOIN gone USING (r))
 """

@@ -143,7 +143,8 @@ def cleaned(docs: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SH
     """One row per row of ``docs``, all columns, and ``clean_text``: its text without the lines
     above the limits."""
     rows = with_boilerplate(docs.drop("clean_text"), max_docs, max_share)
-    return rows.select("row.*", without_lines(F.col("row.text"), F.col("gone")).alias("clean_text"))
+    clean = without_lines(F.col("row.text"), F.col("gone")).alias("clean_text")
+    return rows.select("row", clean).select("row.*", "clean_text")  # the table may have a column gone
 
 
 def is_depleted(clean_text: Column, n_words: Column, min_left: float) -> Column:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import heapq
 import math
 import random
 import zlib
@@ -227,21 +228,79 @@ def test_html_host_of_few_pages_and_many_copies(spark):
 def test_mixing_deviates_by_less_than_a_block(spark):
     docs = spark.range(6000).selectExpr(
         "id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 7) END AS source")
-    weights = spark.createDataFrame([("hot", 0.5), ("s1", 0.2), ("s2", 0.2)], "source string, weight double")
-    shares = {r["name"]: r.parts for r in mixing.shares(docs, weights).collect()}
-    period = sum(shares.values())
+    asked = {"hot": 0.5, "s1": 0.2, "s2": 0.2}
+    weights = spark.createDataFrame(list(asked.items()), "source string, weight double")
     rows = mixing.mix(docs, weights, block_docs=4).collect()
+    asked |= {s: 0.2 for s in {r.source for r in rows} - set(asked)}  # the smallest that is asked for
     assert len({(r.mix_slot, r.mix_place) for r in rows}) == 6000
-    blocks = sorted({(r.mix_slot, r.source) for r in rows})
-    left = collections.Counter(s for _, s in blocks)
-    had = collections.Counter()
-    at = dict(blocks)
-    for slot in range(max(at) + 1):
-        if slot in at:
-            had[at[slot]] += 1
-        for s, parts in shares.items():
-            if had[s] < left[s]:
-                assert abs(had[s] - (slot + 1) * parts / period) < 1
+    check_deviation([(r.source, r.mix_block, r.mix_slot) for r in rows], asked)
+
+
+def check_deviation(blocks, asked):
+    """Every block lies between its release and its deadline, so no prefix of slots deviates by a block."""
+    total = sum(asked.values())
+    places = set(blocks)
+    assert len({slot for *_, slot in places}) == len(places)
+    for source, block, slot in places:
+        pace = total / asked[source]
+        assert block * pace < slot + 1 + 1e-6 and slot < (block + 1) * pace + 1e-6
+
+
+def sequential(jobs):
+    waiting, slot, at, out = [], 0, 0, {}
+    jobs = sorted(jobs, key=lambda j: j[2])
+    while at < len(jobs) or waiting:
+        slot = slot if waiting else max(slot, jobs[at][2])
+        while at < len(jobs) and jobs[at][2] <= slot:
+            name, block, _, d = jobs[at]
+            heapq.heappush(waiting, (d, name, block))
+            at += 1
+        d, name, block = heapq.heappop(waiting)
+        assert slot < d
+        out[name, block] = slot
+        slot += 1
+    return out
+
+
+@pytest.mark.parametrize("case", ["few", "many", "equal", "wide"])
+def test_schedule_is_the_sequential_one(spark, case):
+    rnd = random.Random(2)
+    sizes, whole = {
+        "few": ({"a": 4000, "b": 1500, "c": 33, "d": 1}, lambda n: int(1e6 * n ** 0.5)),
+        "many": ({f"s{i:04}": rnd.randint(1, 60) for i in range(3001)} | {"hot": 30000}, lambda n: n),
+        "equal": ({f"s{i:04}": 100 for i in range(300)}, lambda n: 7),
+        "wide": ({"a": 1000, "b": 2000, "c": 160}, lambda n: {1000: 1 << 40, 2000: 3000, 160: 1 << 39}[n]),
+    }[case]
+    total = sum(map(whole, sizes.values()))
+    table_ = spark.createDataFrame([(s, n, whole(n), total) for s, n in sizes.items()],
+                                   "name string, n long, a long, total long")
+    jobs = mixing.jobs_of(table_)
+    plain = [tuple(r) for r in jobs.select("name", "block", "r", "d").collect()]
+    assert sorted(plain) == sorted((s, i, i * total // whole(n), -(-(i + 1) * total // whole(n)))
+                                   for s, n in sizes.items() for i in range(-(-n // 16)))
+    got = {(r["name"], r.block): r.slot for r in mixing.schedule(jobs).collect()}
+    assert got == sequential(plain)
+
+
+def test_mixing_keeps_small_asked_weights(spark):
+    docs = spark.range(3001 * 32).selectExpr("id AS doc_id", "concat('s', id % 3001) AS source")
+    asked = {f"s{i}": 0.95 / 3000 for i in range(3001)} | {"s7": 0.05}
+    weights = spark.createDataFrame(list(asked.items()), "source string, weight double")
+    rows = mixing.mix(docs, weights).select("source", "mix_block", "mix_slot").distinct().collect()
+    check_deviation([tuple(r) for r in rows], asked)
+    first = [r.source for r in sorted(rows, key=lambda r: r.mix_slot)][:40]
+    assert first.count("s7") == 2  # one slot in twenty, as long as it has blocks
+
+
+def test_mixing_of_null_ids_and_weights(spark):
+    rows = [(None, f"t{i}", "en", "hot", 1) for i in range(400)] + [(i, None, "en", None, 1) for i in range(40)]
+    docs = edge_docs(spark, [r[:4] for r in rows])
+    for weights in (None, [("hot", 0.0), (None, -1.0)], [("hot", None), ("x", 2.0)], []):
+        given = weights if weights is None else spark.createDataFrame(weights, "source string, weight double")
+        got = mixing.mix(docs, given).collect()
+        assert len({(r.mix_slot, r.mix_place) for r in got}) == len(got) == 440
+    starts = mixing.hash60(F.concat_ws(":", F.lit(""), F.col("text")))
+    assert docs.select(F.shiftright(starts, 48)).distinct().count() > 100  # null ids of a source are spread
 
 
 def test_simhash_against_all_pairs(spark, sf_small):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillroll.llm.common import LOWER, UPPER
-from tillroll.llm.mixing import BLOCK_DOCS, RESOLUTION
+from tillroll.llm.mixing import BLOCK_DOCS, UNIT
 from tillroll.llm.prefix_trie import HEADS, MODULUS
 from tillroll.llm.quality import MAX_DOCS, MAX_REPEAT_PCT, MAX_SHARE, MIN_LEFT, MIN_WORDS
 from tillroll.llm.spelling import EVERY, MIN_COUNT, MIN_LENGTH, RATIO
@@ -58,35 +58,35 @@ judged AS (
     LEFT JOIN gone USING (r))
 """
 
-#: Common table expressions over ``documents`` that end in ``mixed``.
+#: Common table expressions over ``documents`` that end in ``mixed``: the schedule slot by slot.
 MIXING_CTES = f"""
-src AS (
-  SELECT coalesce(source, '') AS s, floor(1e6 * sqrt(count(*)))::BIGINT AS w FROM {{docs}} GROUP BY 1),
+src AS (SELECT coalesce(source, '') AS s, count(*) AS n, sqrt(count(*)) AS w FROM {{docs}} GROUP BY 1),
 part AS (
-  SELECT s, greatest(1, (2 * {RESOLUTION} * w + total) // (2 * total)) AS p,
-    row_number() OVER (ORDER BY s) AS i
-  FROM (SELECT s, w, (sum(w) OVER ())::BIGINT AS total FROM src)),
-tot AS (SELECT sum(p)::BIGINT AS period, list(p ORDER BY s) AS ps FROM part),
+  SELECT s, (n - 1) // {BLOCK_DOCS} + 1 AS blocks, row_number() OVER (ORDER BY s) AS i,
+    greatest(1, round(w / max(w) OVER () * {UNIT})::HUGEINT) AS a
+  FROM src),
+tot AS (
+  SELECT sum(a)::HUGEINT AS total, list(a ORDER BY s) AS a, list(blocks ORDER BY s) AS blocks,
+    max((blocks * (SELECT sum(a)::HUGEINT FROM part) + a - 1) // a) AS last FROM part),
 edf(t, c, pick) AS (
-  SELECT -1::BIGINT, list_transform(ps, lambda x: 0::BIGINT), 0::BIGINT FROM tot
+  SELECT -1::BIGINT, list_transform(a, lambda x: 0::BIGINT), 0::BIGINT FROM tot
   UNION ALL
-  SELECT t + 1, list_transform(c, lambda x, i: x + (i = b)::BIGINT), b FROM (
-    SELECT t, c, list_min(list_transform(ps, lambda p, i: CASE
-        WHEN c[i] < p AND (c[i] * period) // p <= t + 1
-        THEN (((c[i] + 1) * period + p - 1) // p) * 100000 + i END)) % 100000 AS b
-    FROM edf, tot WHERE t + 1 < period)),
-job AS (
-  SELECT s, p, period, t AS slot, row_number() OVER (PARTITION BY s ORDER BY t) - 1 AS j
-  FROM edf JOIN part ON pick = part.i, tot WHERE t >= 0),
+  SELECT t + 1, list_transform(c, lambda x, i: x + coalesce(i = b, false)::BIGINT), b FROM (
+    SELECT t, c, (list_min(list_transform(tot.a, lambda p, i: CASE
+        WHEN c[i] < blocks[i] AND (c[i] * total) // p <= t + 1
+        THEN (((c[i] + 1) * total + p - 1) // p) * 100000 + i END)) % 100000)::BIGINT AS b
+    FROM edf, tot WHERE t + 1 < last)),
+slot AS (
+  SELECT s, t AS slot, row_number() OVER (PARTITION BY s ORDER BY t) - 1 AS block
+  FROM edf JOIN part ON pick = part.i WHERE t >= 0),
 ranked AS (
   SELECT *, coalesce(source, '') AS s, row_number() OVER (
-    PARTITION BY coalesce(source, '') ORDER BY
-      ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT, doc_id) - 1 AS rank
+    PARTITION BY coalesce(source, '') ORDER BY ('0x' || substr(md5(
+      coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT, doc_id) - 1 AS rank
   FROM {{docs}}),
 mixed AS (
-  SELECT ranked.* EXCLUDE (s, rank), rank // {BLOCK_DOCS} AS mix_block,
-    (rank // {BLOCK_DOCS} // p) * period + slot AS mix_slot, rank % {BLOCK_DOCS} AS mix_place
-  FROM ranked JOIN job ON ranked.s = job.s AND (rank // {BLOCK_DOCS}) % p = j)
+  SELECT ranked.* EXCLUDE (s, rank), block AS mix_block, slot AS mix_slot, rank % {BLOCK_DOCS} AS mix_place
+  FROM ranked JOIN slot ON ranked.s = slot.s AND rank // {BLOCK_DOCS} = block)
 """
 
 #: The byte table of CRC-32, and the checksum of a list of bytes.
@@ -173,7 +173,7 @@ ORACLE_SQL = {
     "op11_spelling_variants": SPELLING_SQL,
     "op12_prefix_trie": TRIE_SQL,
     "op8_mixing": f"""WITH RECURSIVE {MIXING_CTES.replace('{docs}', 'documents')}
-SELECT doc_id, source, mix_block, mix_slot, mix_place FROM mixed""",
+SELECT * FROM mixed""",
     "op7_quality_rules": f"""WITH {QUALITY_CTES.replace('{docs}', 'documents')}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT depleted AS kept

@@ -56,8 +56,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mixing.mix(docs)
+    return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -252,9 +252,9 @@ def links(fps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, fingerprint (hex), component_id
     (smallest doc_id that links reach), component (the smallest fingerprint reached, as a
-    signed long) and fp (the fingerprint as a signed long)."""
-    rows = stored(docs.select("doc_id", fingerprint_column(F.col("text"), width).alias("fp")),
-                  "fingerprints")
+    signed long), fp (the fingerprint as a signed long) and content (md5 of the text)."""
+    rows = stored(docs.select("doc_id", fingerprint_column(F.col("text"), width).alias("fp"),
+                              _content().alias("content")), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     found = stored(connected_components(links(fps.select("fp"))), "components")
     named = fps.join(found, fps["fp"] == found["node"])
@@ -265,7 +265,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                                   F.coalesce("name", "first").alias("component_id")), "labels")
     return rows.join(labels, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
-        "component", "fp")
+        "component", "fp", "content")
+
+
+def _content() -> Column:
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -273,15 +277,14 @@ def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     smallest doc_id (a null id only where the group has no other)."""
     groups = near_duplicates(docs, width)
     best = groups.groupBy("component").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp")).alias("b"))
-    best = stored(best.select(_row_key(F.col("b.doc_id"), F.col("b.fp")).alias("__key")), "keepers")
-    rows = docs.select(F.struct("*").alias("row"), _row_key(
-        F.col("doc_id"), fingerprint_column(F.col("text"), width)).alias("__key"))
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "content")).alias("b"))
+    best = stored(best.select(_row_key(F.col("b.doc_id"), F.col("b.content")).alias("__key")), "keepers")
+    rows = docs.select(F.struct("*").alias("row"), _row_key(F.col("doc_id"), _content()).alias("__key"))
     ties = Window.partitionBy("__key").orderBy(*(
         F.col("row").getField(f.name) for f in docs.schema if isinstance(f.dataType, T.AtomicType)))
     return rows.join(best, "__key").withColumn("n", F.row_number().over(ties)).where("n = 1").select(
         "row.*")
 
 
-def _row_key(doc_id: Column, fp: Column) -> Column:
-    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(":"), fp.cast("string"))
+def _row_key(doc_id: Column, content: Column) -> Column:
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(":"), content)

@@ -192,39 +192,6 @@ def test_language_held_out_and_spans(spark):
         assert total(path) == pytest.approx(max(b for b, _ in best), abs=1e-3)
 
 
-def test_html_main_text(spark):
-    boiler = "this site uses cookies to make your visit better please accept them all now"
-    rows = [(i, f"http://h.example.com/{i}", f"<body><div><p>{boiler}</p></div><div><p>page{i} "
-             + " ".join(f"w{i}x{j}" for j in range(30)) + "</p></div>") for i in range(40)]
-    article = "copied article " + " ".join(f"c{j}" for j in range(40))
-    rows += [(100 + i, "http://h.example.com/c", f"<p>{article}</p>") for i in range(30)]
-    rows += [(None, None, None), (207, None, ""),
-             (208, "http://z", "<nav>x<p>y</nav><article><h1>T &amp; t</h1><p>a<br>b <b>c</b><div class='ad'>no</div>"
-                             "<script>var t='</p>';</script><p>d</article><footer>f</footer>")]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    found = html_text.main_text(pages).collect()
-    text = {r.page_id: r.text for r in found}
-    assert len(found) == len(rows) and all(r.n_chars == len(r.text) for r in found)
-    assert not any("cookies" in t for t in text.values())
-    assert text[0].startswith("page0 w0x0") and text[100] == article  # copies aren't boilerplate
-    assert text[None] == "" and text[207] == "" and text[208] == "T & t\n\na b c\n\nd"
-    split = html_text.host_boilerplate(html_text.parsed(pages), group_pages=8).first()
-    whole = html_text.host_boilerplate(html_text.parsed(pages)).first()
-    assert set(split.runs) == set(whole.runs)
-    assert html_text.main_text(pages.limit(0)).collect() == []
-
-
-def test_html_host_of_few_pages_and_many_copies(spark):
-    boiler = "this site uses cookies to make your visit better please accept them all now"
-    rows = [(i, f"<p>{boiler}</p><p>page{i} " + " ".join(f"w{i}x{j}" for j in range(30))) for i in range(6)]
-    rows += [(6 + i, "<p>copied " + " ".join(f"c{j}" for j in range(40))) for i in range(600)]
-    pages = spark.createDataFrame([(i, "http://h/p", h) for i, h in rows], "page_id long, url string, html string")
-    split = html_text.host_boilerplate(html_text.parsed(pages), group_pages=4).collect()
-    whole = html_text.host_boilerplate(html_text.parsed(pages), group_pages=10_000).collect()
-    n = len(boiler.split()) - html_text.RUN + 1
-    assert [len(r.runs) for r in split] == [n] and [set(r.runs) for r in split] == [set(r.runs) for r in whole]
-
-
 def test_mixing_deviates_by_less_than_a_block(spark):
     docs = spark.range(6000).selectExpr(
         "id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 7) END AS source")

@@ -1,218 +1,194 @@
-"""Main text of web pages: markup first, then the host's repeated runs.
-
-Markup. Elements that hold no article text (menus, headers and footers of the page, side
-bars, notices, adverts, forms, scripts, styles, comments; told by tag or by a word of
-their class, id or role) go with all they hold. If the page has an article or main element,
-only text inside one counts. What is left is cut into blocks at block tags; references are
-decoded, white space becomes one space.
-
-Host suffix array. The blocks of a host's distinct pages are token streams. These pages,
-one for all copies of a text, are dealt by a hash of the text into groups of about
-``GROUP_PAGES`` pages of one host;
-each group's streams are concatenated and their suffixes sorted (prefix doubling up to
-``RUN`` tokens), so equal runs of ``RUN`` tokens are neighbours. Runs that stand on at least
-``SHARE`` of a group's pages are candidates (on a single page, where that is the share): what has
-that share of the host has it in some group. The host's distinct pages that hold them are then
-counted, and tokens covered by the runs that stand on ``SHARE`` of the host's pages, and
-``MIN_PAGES`` at least, are
-removed; the unique runs stay. A hot host is many groups, and copies of a page count
-once, so an article that was copied doesn't become boilerplate.
+"""Main text of web pages: markup first (``html_markup``), then the host's suffix arrays.
+
+Markup gives the blocks of a page's text. On a page with an article or main element that is the
+result: what such pages repeat inside it belongs to the article. On pages without one, menus and
+notices in plain elements are left; these are told by what the pages of a host repeat.
+
+Host suffix array. The blocks that a host's distinct pages show beside their articles (all blocks,
+where there is no article element) are token streams, with a mark between blocks. Distinct streams, each
+with the number of its pages, are dealt by a hash into groups of one host, of about ``GROUP_PAGES``
+streams and ``GROUP_CHARS`` characters. In a group the streams are concatenated and all
+suffixes sorted (prefix doubling to the end); the common lengths of neighbours (LCP) cut
+the array into intervals of suffixes that agree in ``RUN`` tokens or more. An interval on at least
+``SHARE`` of the group's pages is a repeat: what has that share of the host has it in some group.
+The pages of the whole host that hold its runs of ``RUN`` tokens are then counted, and runs
+on ``SHARE`` of the host's pages, and ``MIN_PAGES`` at least, are boilerplate.
+
+From the pages without an article element, blocks go whose tokens are *all* covered by
+such runs. A block with a token of its own stays whole, so articles that open alike lose
+nothing. A hot host is many groups; copies of a page count once.
 
 Cases: null html gives an empty text; null and repeated ids, urls and rows keep their rows; a
-null url is a host of its own name ''; unclosed elements end with their parent; other
-columns are ignored; an empty table gives an empty result.
+null url is a host of its own name ''; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
 
-import html
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import slices, stored
+from tillroll.llm.html_markup import blocks_of
 
-RUN, GROUP_PAGES, SHARE, MIN_PAGES = 8, 256, 0.5, 5
-#: Element names of HTML by what they mean here.
-RAW = frozenset("script style noscript template textarea select option svg math iframe object canvas "
-                "title head".split())
-OUTSIDE = frozenset("nav footer aside form button dialog menu".split())
-MAIN = frozenset("article main".split())
-BLOCKS = frozenset(
-    "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
-    "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table "
-    "tbody td tfoot th thead tr ul".split())
-NESTED = BLOCKS - frozenset("p li dd dt hr tr td th tbody thead tfoot h1 h2 h3 h4 h5 h6".split()) | {"button"}
-MARKS = frozenset(
-    "ad ads advert adverts advertisement adbox banner sponsor sponsored promo nav navbar navigation menu "
-    "breadcrumb breadcrumbs sidebar side footer masthead cookie cookies consent gdpr notice notices alert "
-    "popup modal newsletter subscribe signup login comment comments disqus replies reply related share "
-    "sharing social widget toolbar pagination pager skip".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_PARTS = re.compile(r"[a-z]+")
-
-
-def _is_outside(tag: str, attributes: str, in_main: bool) -> bool:
-    if tag in OUTSIDE or tag == "header" and not in_main:
-        return True
-    if not attributes or tag in ("html", "body"):
-        return False
-    for name, *value in _ATTRIBUTE.findall(attributes):
-        words = _PARTS.findall("".join(value).lower())
-        if name.lower() == "role" and ROLES.intersection(words):
-            return True
-        if name.lower() != "role" and MARKS.intersection(words) and tag not in MAIN:
-            return True
-    return bool(_HIDDEN.search(attributes))
+RUN, GROUP_PAGES, GROUP_CHARS, SHARE, MIN_PAGES = 8, 256, 4_000_000, 0.5, 5
+#: Stands between blocks in a stream.
+MARK = np.uint64(0xB10C)
 
 
 def blocks(page: str) -> list[str]:
     """The text blocks of a page that markup doesn't exclude."""
-    every, main, parts = [], [], []
-    stack: list[tuple[str, bool, bool]] = []  # open element, outside, in main
-
-    def flush() -> None:
-        if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text:
-                every.append(text)
-                if stack and stack[-1][2]:
-                    main.append(text)
-            parts.clear()
-
-    at, raw = 0, None
-    for m in _TOKEN.finditer(page):
-        closing, tag = m.group(1), (m.group(2) or "").lower()
-        if raw is not None:
-            if closing and tag == raw:
-                raw, at = None, m.end()
-            continue
-        outside, in_main = stack[-1][1:] if stack else (False, False)
-        if not outside and m.start() > at:
-            parts.append(page[at:m.start()])
-        at = m.end()
-        if not tag:
-            continue
-        if tag == "br":
-            parts.append(" ")
-        elif tag in RAW:
-            if not closing and tag != "head" and not m.group(3).endswith("/"):
-                raw = tag
-        elif tag in BLOCKS or tag in NESTED:
-            flush()
-            if tag not in NESTED:
-                continue
-            if not closing:
-                gone = outside or _is_outside(tag, m.group(3), in_main)
-                stack.append((tag, gone, in_main or tag in MAIN and not gone))
-            elif any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
-    if raw is None:
-        if not (stack and stack[-1][1]):
-            parts.append(page[at:])
-        flush()
-    return main or every
+    return blocks_of(page)[0]
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host and text (blocks joined by two line ends)."""
+    """page_id, url, host, text (blocks joined by two line ends), named (the page has an article or
+    main element) and beside (the blocks to hold against the host's other pages)."""
     kinds = {c: pages.schema[c].dataType.simpleString() for c in ("page_id", "url")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
-            texts = ["\n\n".join(blocks(p)) for p in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(texts, pa.string())],
-                                             ["page_id", "url", "host", "text"])
+            found = [blocks_of(p) for p in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(["\n\n".join(f[0]) for f in found], pa.string()),
+                 pa.array([f[1] for f in found], pa.bool_()),
+                 pa.array([None if not f[1] else "\n\n".join(f[2]) for f in found], pa.string())],
+                ["page_id", "url", "host", "text", "named", "beside"])
 
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")),
                                     r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select("page_id", "url", host.alias("host"), F.coalesce(
+    rows = pages.select("page_id", "url", host.alias("host"), F.coalesce(
         F.col("html").cast("string"), F.lit("")).alias("html")).mapInArrow(
-        run, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, text string")
-
-
-def _streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Token numbers (64-bit hashes) of the texts one after the other, and their page numbers."""
-    words = [t.split() for t in texts]
-    flat = pd.Series([w for ws in words for w in ws], dtype=object)
-    hashes = pd.util.hash_array(flat.to_numpy(), categorize=True) if len(flat) else np.zeros(0, np.uint64)
-    return hashes, np.repeat(np.arange(len(texts)), [len(w) for w in words])
-
-
-def repeated_runs(texts: list[str], least: int = 2) -> pd.DataFrame:
-    """Suffix array of the concatenated streams, sorted by the first ``RUN`` tokens: for
-    each run that stands on ``least`` pages or more its hash (of its tokens) and its pages."""
-    tokens, page = _streams(texts)
-    none = pd.DataFrame({"run": np.zeros(0, np.int64), "pages": np.zeros(0, np.int64)})
-    if len(tokens) < RUN:
-        return none
-    # RUN is a power of two
-    width, rank = 1, np.unique(tokens, return_inverse=True)[1]
-    while width < RUN:  # ranks by twice as many tokens
-        pair = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
-        rank = np.unique(pair, return_inverse=True)[1]
+        run, f"page_id {kinds['page_id']}, url {kinds['url']}, host string, text string, named boolean, "
+             "beside string")
+    return rows.withColumn("beside", F.coalesce("beside", "text"))
+
+
+def stream_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token numbers (64-bit hashes) of a text with a mark before, between and after its blocks, and
+    the number of each token's block (marks: that of the block after)."""
+    parts = [b.split() for b in text.split("\n\n")] if text else []
+    words = pd.Series([w for ws in parts for w in ws], dtype=object)
+    hashes = pd.util.hash_array(words.to_numpy(), categorize=True) if len(words) else np.zeros(0, np.uint64)
+    sizes = np.array([len(p) for p in parts], np.int64)
+    at = np.cumsum(sizes) - sizes  # first word of each block
+    tokens = np.insert(hashes, np.append(at, len(hashes)), MARK)
+    return tokens, np.append(np.repeat(np.arange(len(parts)), sizes + 1), len(parts))
+
+
+def suffix_array(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of a sequence in order, and the common length of each with the one before (the
+    first: 0). Ranks by 1, 2, 4, ... tokens are kept: they give the lengths without a scan."""
+    n = len(tokens)
+    ranks = [np.unique(tokens, return_inverse=True)[1].astype(np.int64)]
+    width = 1
+    while width < n and int(ranks[-1].max()) < n - 1:
+        last = ranks[-1]
+        after = np.zeros(n, np.int64)  # past the end: below all
+        after[:n - width] = last[width:] + 1
+        ranks.append(np.unique(last * (n + 1) + after, return_inverse=True)[1].astype(np.int64))
         width *= 2
-    inside = page[:len(rank)] == page[RUN - 1:]  # runs don't cross pages
-    array = np.argsort(rank, kind="stable")
-    array = array[inside[array]]
-    r, p = rank[array], page[array]
-    new = np.r_[True, (r[1:] != r[:-1]) | (p[1:] != p[:-1])]  # a run once a page
-    first, n = np.unique(r[new], return_index=True, return_counts=True)[1:]
-    many = n >= least
-    at = array[new][first[many]]
-    return pd.DataFrame({"run": _run_hashes(tokens, at), "pages": n[many].astype(np.int64)})
-
-
-def _run_hashes(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
+    array = np.argsort(ranks[-1], kind="stable")
+    common = np.zeros(n, np.int64)
+    a, b = array[:-1].copy(), array[1:].copy()
+    for level in range(len(ranks) - 1, -1, -1):
+        step = 1 << level
+        fits = (a + step <= n) & (b + step <= n)
+        same = np.zeros(len(a), bool)
+        same[fits] = ranks[level][a[fits]] == ranks[level][b[fits]]
+        common[1:][same] += step
+        a[same] += step
+        b[same] += step
+    return array, common
+
+
+def repeats(texts: list[str], pages: list[int], least: float, run: int = RUN) -> pd.DataFrame:
+    """The repeats of ``run`` tokens or more on at least ``least`` pages (text i stands on
+    ``pages[i]``): ``hash`` of the first ``run`` tokens, ``length`` that all places share, ``pages``."""
+    streams = [stream_of(t)[0] for t in texts]
+    none = pd.DataFrame({c: np.zeros(0, np.int64) for c in ("hash", "length", "pages")})
+    if not streams:
+        return none
+    sizes = [len(s) for s in streams]
+    owner = np.repeat(np.arange(len(texts)), np.array(sizes) + 1)
+    # a number of its own ends each stream, so no repeat crosses two
+    joined = np.concatenate([np.append(s, np.uint64(i)) for i, s in enumerate(streams)])
+    own_end = np.cumsum(np.array(sizes) + 1) - 1
+    codes = np.unique(np.delete(joined, own_end), return_inverse=True)[1] + len(texts)
+    numbers = np.empty(len(joined), np.int64)
+    numbers[own_end] = np.arange(len(texts))
+    numbers[np.setdiff1d(np.arange(len(joined)), own_end, assume_unique=True)] = codes
+    array, common = suffix_array(numbers)
+    group = np.cumsum(common < run)  # neighbours that agree in run tokens are one interval
+    left = own_end[owner[array]] - array  # tokens up to the stream's end
+    inside = left >= run
+    array, group, common, left = array[inside], group[inside], common[inside], left[inside]
+    if not len(array):
+        return none
+    first = np.append(True, group[1:] != group[:-1])
+    starts = np.flatnonzero(first)
+    shared = np.where(first, left, np.minimum(common, left))
+    length = np.minimum.reduceat(shared, starts)
+    place = np.cumsum(first) - 1
+    seen = np.unique(place * len(texts) + owner[array])  # an interval's text counts once
+    weight = np.bincount(seen // len(texts), np.array(pages)[seen % len(texts)], len(starts))
+    many = weight >= least
+    return pd.DataFrame({"hash": _run_hashes(joined, array[starts[many]], run), "length": length[many],
+                         "pages": weight[many].astype(np.int64)})
+
+
+def _run_hashes(tokens: np.ndarray, at: np.ndarray, run: int = RUN) -> np.ndarray:
     out = np.zeros(len(at), np.uint64)
-    for i in range(RUN):
+    for i in range(run):
         out = out * np.uint64(0x9E3779B97F4A7C15) + tokens[at + i]
     return out.view(np.int64)
 
 
-def without_runs(text: str, runs: np.ndarray) -> str:
-    """The text without the tokens that the runs cover; blocks that keep none go."""
-    tokens, _ = _streams([text])
+def runs_in(text: str, asked: np.ndarray) -> np.ndarray:
+    """Places in ``asked`` of the runs that the text holds."""
+    tokens, _ = stream_of(text)
+    return np.flatnonzero(np.isin(asked, _run_hashes(tokens, np.arange(max(0, len(tokens) - RUN + 1)))))
+
+
+def without_boilerplate(text: str, runs: np.ndarray) -> str:
+    """The text without the blocks that the runs cover from the first token to the last."""
+    tokens, block = stream_of(text)
     if len(tokens) < RUN:
         return text
     at = np.arange(len(tokens) - RUN + 1)
-    covered = np.zeros(len(tokens) + 1, np.int64)
+    change = np.zeros(len(tokens) + 1, np.int64)
     hit = at[np.isin(_run_hashes(tokens, at), runs)]
-    np.add.at(covered, hit, 1)
-    np.add.at(covered, hit + RUN, -1)
-    keep = np.cumsum(covered)[:-1] == 0
-    out, i = [], 0
-    for block in text.split("\n\n"):
-        words = block.split()
-        out.append(" ".join(w for w, k in zip(words, keep[i:i + len(words)]) if k))
-        i += len(words)
-    return "\n\n".join(b for b in out if b)
+    np.add.at(change, hit, 1)
+    np.add.at(change, hit + RUN, -1)
+    bare = (np.cumsum(change)[:-1] == 0) & (tokens != MARK)
+    own = np.bincount(block[bare], minlength=block[-1] + 1)
+    return "\n\n".join(b for b, n in zip(text.split("\n\n"), own) if n)
+
+
+def _part(parts: str = "parts"):
+    return F.expr(f"pmod(xxhash64(content), {parts})").alias("part")
 
 
 def host_boilerplate(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES,
-                     group_pages: int = GROUP_PAGES) -> DataFrame:
-    """(host, runs): hashes of the runs on at least ``share`` of the host's distinct pages."""
-    rows = pages.where("text <> ''").select(
-        "host", "text", F.unhex(F.md5(F.col("text").cast("binary"))).alias("content"))
-    sizes = stored(rows.select("host", "content").distinct().groupBy("host").agg(
-        F.count("*").alias("host_pages")).where(F.col("host_pages") >= min_pages).withColumn(
-        "parts", F.ceil(F.col("host_pages") / group_pages)), "host-pages")
-
-    def candidates(key: tuple, pages: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_runs(pages["text"].tolist(), 1 if share * len(pages) <= 1 else 2)
-        found = found[found["pages"] >= share * len(pages)]
-        return pd.DataFrame({"host": key[0], "run": found["run"]})
+                     group_pages: int = GROUP_PAGES, group_chars: int = GROUP_CHARS) -> DataFrame:
+    """(host, parts, runs): hashes of the runs on at least ``share`` of the host's distinct pages, of
+    ``pages`` as ``parsed`` gives them; ``parts`` is how many tasks the host is dealt to."""
+    rows = pages.where("beside <> ''").select(
+        "host", "beside", F.unhex(F.md5(F.col("beside").cast("binary"))).alias("content"),
+        F.xxhash64("text", "beside").alias("page"))
+    # distinct streams with the number of their distinct pages
+    counts = rows.select("host", "content", "page", F.length("beside").alias("chars")).distinct().groupBy(
+        "host", "content").agg(F.count("*").alias("pages"), F.max("chars").alias("chars"))
+    counts = stored(counts, "streams")
+    sizes = stored(counts.groupBy("host").agg(
+        F.sum("pages").alias("host_pages"), F.greatest(
+            F.ceil(F.count("*") / group_pages), F.ceil(F.sum("chars") / group_chars)).alias("parts")).where(
+        F.col("host_pages") >= min_pages), "host-pages")
 
     def first_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()  # hashes of the rows of one split
@@ -221,45 +197,52 @@ def host_boilerplate(pages: DataFrame, share: float = SHARE, min_pages: int = MI
             new = [not (k in seen or seen.add(k)) for k in keys]
             yield batch.filter(pa.array(new, pa.bool_()))
 
-    # copies go where they are read, then in the group's task: the texts are shuffled once
-    dealt = rows.mapInArrow(first_in_task, rows.schema).join(sizes, "host").select(
-        "host", F.expr("pmod(xxhash64(content), parts)").alias("part"), "content", "text").repartition(
-        "host", "part").dropDuplicates(["host", "part", "content"])
-    some = stored(dealt.select("host", "part", "text").groupBy("host", "part").applyInPandas(
+    texts = rows.select("host", "beside", "content")
+    dealt = texts.mapInArrow(first_in_task, texts.schema).join(sizes, "host").select(
+        "host", _part(), "content", "beside").repartition("host", "part").dropDuplicates(
+        ["host", "part", "content"])
+    streams = stored(dealt.join(counts, ["host", "content"]).select(
+        "host", "part", "content", "beside", "pages"), "host-streams")
+
+    def candidates(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        found = repeats(group["beside"].tolist(), group["pages"].tolist(), share * group["pages"].sum())
+        return pd.DataFrame({"host": key[0], "run": found["hash"]})
+
+    some = stored(streams.groupBy("host", "part").applyInPandas(
         candidates, "host string, run long").distinct().groupBy("host").agg(
-        F.collect_list("run").alias("asked")), "run-candidates")
+        F.collect_list("run").alias("asked")).join(sizes, "host"), "run-candidates")
 
     @F.arrow_udf("array<int>")
     def held(texts: pa.Array, asked: pa.Array) -> pa.Array:
         return pa.array([runs_in(t.as_py(), np.array(a.as_py(), np.int64)) for t, a in zip(texts, asked)],
                         pa.list_(pa.int32()))
 
-    hits = rows.join(some, "host").select("host", "content", held(F.col("text"), F.col("asked")).alias("at"))
-    counted = hits.dropDuplicates(["host", "content"]).select("host", F.explode("at").alias("at")).groupBy(
-        "host", "at").agg(F.count("*").alias("pages"))
-    return counted.join(sizes, "host").where(
-        (F.col("pages") >= min_pages) & (F.col("pages") >= share * F.col("host_pages"))).join(
-        some, "host").groupBy("host").agg(F.collect_set(F.get("asked", F.col("at"))).alias("runs"))
-
-
-def runs_in(text: str, asked: np.ndarray) -> np.ndarray:
-    """Places in ``asked`` of the runs that the text holds."""
-    tokens, _ = _streams([text])
-    return np.flatnonzero(np.isin(asked, _run_hashes(tokens, np.arange(max(0, len(tokens) - RUN + 1)))))
+    each_part = some.select("host", "asked", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"))
+    hits = streams.join(each_part, ["host", "part"]).select(
+        "host", "pages", held(F.col("beside"), F.col("asked")).alias("at"))
+    counted = hits.select("host", "pages", F.explode("at").alias("at")).groupBy("host", "at").agg(
+        F.sum("pages").alias("pages"))
+    return counted.join(some, "host").where(
+        (F.col("pages") >= min_pages) & (F.col("pages") >= share * F.col("host_pages"))).groupBy(
+        "host", "parts").agg(F.collect_set(F.get("asked", F.col("at"))).alias("runs"))
 
 
 def main_text(pages: DataFrame, share: float = SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars."""
-    rows = parsed(pages)  # parsed anew in each pass: cheaper than a second copy of the texts
+    rows = stored(parsed(pages), "pages")
     boilerplate = stored(host_boilerplate(rows, share, min_pages), "boilerplate-runs")
 
     @F.arrow_udf("string")
     def cleaned(texts: pa.Array, runs: pa.Array) -> pa.Array:
-        return pa.array([t.as_py() if not r.is_valid else without_runs(
+        return pa.array([t.as_py() if not r.is_valid else without_boilerplate(
             t.as_py(), np.array(r.as_py(), np.int64)) for t, r in zip(texts, runs)], pa.string())
 
-    joined = rows.join(boilerplate, "host", "left")
-    plain = joined.where(F.col("runs").isNull()).select("page_id", "url", "text")
-    cut = joined.where(F.col("runs").isNotNull()).select(
+    # a host's pages go to as many tasks as its streams did
+    open_pages = rows.where("NOT named").withColumn("content", F.xxhash64("text")).join(
+        boilerplate.select("host", "parts"), "host", "left").select(
+        "page_id", "url", "host", "text", _part("coalesce(parts, 1L)"))
+    cut = open_pages.join(boilerplate.select("host", "runs", F.explode(F.expr(
+        "sequence(0L, parts - 1)")).alias("part")), ["host", "part"], "left").select(
         "page_id", "url", cleaned(F.col("text"), F.col("runs")).alias("text"))
-    return plain.union(cut).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    named = rows.where("named").select("page_id", "url", "text")
+    return named.union(cut).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -5,6 +5,7 @@ import hashlib
 import heapq
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -147,13 +148,88 @@ def test_lm_base_and_lattice(spark, sf_small):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(c[w] > 0 for w in ws), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), abs=1e-6)
         assert r.score < 0
-    names, spelled = ["▁", "a", "b", "ab", "▁a", "<0x61>"], {0x61: 5}
-    lattice = lm_scoring.Lattice(names, spelled, np.array([3, 4, 2, 5, 1, 1]), 0, 0)
-    p = {k: math.exp(x) for k, x in lattice.pieces.items()}
-    byte = math.exp(lattice.bytes[0x61])
-    # all segmentations of ▁ab by hand; b has no byte piece, ▁ neither
-    want = p["▁"] * (p["a"] + byte) * p["b"] + p["▁"] * p["ab"] + p["▁a"] * p["b"]
-    assert math.exp(lattice.subwords("ab")) == pytest.approx(want)
+
+
+def cuts_of(text, pieces, spelled):
+    """All segmentations of a text into pieces (by number) or bytes."""
+    if not text:
+        yield []
+        return
+    for size in range(1, len(text) + 1):
+        if text[:size] in pieces:
+            for rest in cuts_of(text[size:], pieces, spelled):
+                yield [pieces[text[:size]], *rest]
+    for rest in cuts_of(text[1:], pieces, spelled):
+        yield [*(spelled[b] for b in text[0].encode()), *rest]
+
+
+def test_lattice_against_all_segmentations():
+    rnd = random.Random(5)
+    names = ["<unk>", "<s>", "▁", "a", "b", "ab", "▁a", "ba", "bab", "<0x61>", "<0x62>", "<0xC3>", "<0xA9>"]
+    spelled = {int(n[3:5], 16): i for i, n in enumerate(names) if n.startswith("<0x")}
+    spelled |= {b: 9 for b in "▁".encode()}
+    pieces = {n: i for i, n in enumerate(names) if not n.startswith("<")}
+    counts = np.array([rnd.random() * 9 for _ in names])
+    lattice = lm_scoring.Lattice(names, spelled, counts, 4.0)
+    shared = [i for i in range(len(names)) if i > 1]
+    total = counts[shared].sum() + len(shared) + 5
+    assert sum(math.exp(lattice.logp[i]) for i in shared) + math.exp(lattice.end) == pytest.approx(1)
+    words = ["", "a", "b", "ab", "bab", "abab", "é", "aéb", "bababa", "bbbb", "éa", "aaaaa"]
+    times = np.arange(1.0, len(words) + 1)
+    want, expected = [], np.zeros(len(names))
+    for w, t in zip(words, times):
+        cuts = list(cuts_of("▁" + w, pieces, spelled))
+        each = [math.prod((counts[i] + 1) / total for i in c) for c in cuts]
+        want.append(math.log(sum(each)))
+        for c, p in zip(cuts, each):
+            for i in c:
+                expected[i] += t * p / sum(each)
+    assert lattice.marginals(words) == pytest.approx(want)
+    assert [lattice.marginal(w) for w in words] == pytest.approx(want)
+    got = np.zeros(len(names))
+    for same in lm_scoring.by_length(words):
+        got += lattice.expected([words[i] for i in same], times[same])
+    assert got == pytest.approx(expected, abs=1e-6)
+    long = "ab" * 400 + "é"
+    assert lattice.marginals([long]) == pytest.approx([lattice.marginal(long)])
+    assert lattice.forward([long], lattice.arcs([long]))[2][-1] == pytest.approx(lattice.marginal(long))
+
+
+def test_lm_scores_against_brute_force(spark):
+    """Every step again on a few documents: cuts, expectation maximisation, scores."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(rnd.choices(["The", "cat", "été", "sat", "x1", "日", "on"], k=rnd.randint(0, 6))),
+             None, "a") for i in range(30)]
+    docs = edge_docs(spark, rows)
+    path = lm_scoring.vocabulary_path(lm_scoring.VOCABULARY)
+    sp, names, spelled = lm_scoring.pieces_of(path)
+    pieces = {n: i for i, n in enumerate(names) if not (n.startswith("<") and n.endswith(">") and len(n) > 2)}
+    usable = set(pieces.values()) | set(spelled.values())
+    train = [t for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    times = collections.Counter(w.lower() for t in train for w in t.split())
+    ends, counts = len(train), collections.Counter()
+    for w, c in times.items():
+        for i in sp.encode(w):
+            counts[i] += c
+    probability = None
+    for _ in range(lm_scoring.ROUNDS + 1):
+        if probability is not None:
+            new = collections.Counter()
+            for w, c in times.items():
+                cuts = list(cuts_of("▁" + w, pieces, spelled))
+                each = [math.prod(map(probability, cut)) for cut in cuts]
+                for cut, p in zip(cuts, each):
+                    for i in cut:
+                        new[i] += c * p / sum(each)
+            counts = new
+        total = sum(counts.values()) + len(usable) + ends + 1
+        probability = lambda i, counts=counts, total=total: (counts[i] + 1) / total
+    marginal = {w: math.log10(sum(math.prod(map(probability, cut)) for cut in cuts_of("▁" + w, pieces, spelled)))
+                for w in {w.lower() for _, t, *_ in rows for w in t.split()}}
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs).collect()}
+    for i, t, *_ in rows:
+        assert got[i] == pytest.approx(sum(marginal[w.lower()] for w in t.split()) + math.log10((ends + 1) / total),
+                                       abs=1e-6)
 
 
 def test_toxicity_held_out(spark):
@@ -361,3 +437,110 @@ def test_embeddings_audit_of_every_index(spark, monkeypatch):
     got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(vectors).collect()}
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     assert audited and [got[i] for i in range(80)] == ((u @ u.T >= 0.93).sum(axis=1) - 1).tolist()
+
+
+def test_frequent_tier_is_bounded(spark):
+    words = spark.createDataFrame([(f"w{i}", i % 40) for i in range(1000)] + [("x" * 99, 999)], "word string, c long")
+    for most in (1, 10, 100, 5000):
+        found = lm_scoring.frequent_words(words, most).collect()
+        assert len(found) <= most and (most < 1000 or len(found) == 1000)
+        assert not found or min(r.c for r in found) >= 39 - most // 10
+
+
+# --- toxicity, language, encoding: parts against brute force
+
+def toxic_docs(spark, n=120):
+    rnd = random.Random(2)
+    words = ["sun", "moon", "tree", "river", "stone"]
+    rows = []
+    for i in range(n):
+        text = [" ".join(rnd.choices(words, k=5)) for _ in range(4)]
+        if i % 3 == 0:
+            text[i % 4] += " vile scum"
+        rows.append((i, ". ".join(text) + ".", "en", "a"))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(n)], "doc_id long, quality int, toxic int")
+    return rows, labels
+
+
+def test_noisy_or_against_brute_force(spark):
+    rows, labels = toxic_docs(spark)
+    model = toxicity.train(edge_docs(spark, rows), labels)
+    for _, text, *_ in rows[:40]:
+        clean = 1.0
+        for sentence in text.split(". "):
+            z = model.bias + sum(model.weights.get(f, 0.0) for w in set(sentence.strip(".").split())
+                                 for f in toxicity.features_of(w))
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert model.score(text) == pytest.approx(1 - clean)
+    found = toxicity.toxicity(edge_docs(spark, rows), labels).collect()
+    assert all(r.predicted == (r.doc_id % 3 == 0) for r in found)
+    spans = {r.doc_id: r.offending for r in found}
+    assert all(("vile" in t[spans[i][0]["start"]:spans[i][0]["end"]]) for i, t, *_ in rows if i % 3 == 0)
+
+
+def test_noisy_or_gradient_by_differences(spark):
+    rows, labels = toxic_docs(spark, 40)
+    kept = toxicity.training_rows(edge_docs(spark, rows), labels)
+    numbers = {w: i for i, w in enumerate(["sun", "vile", "scum", "rive*", "tree", "ston*"])}
+    bags = toxicity.Bags(toxicity.bags(kept, numbers).orderBy("h").toArrow())
+    theta = np.random.default_rng(0).normal(size=len(numbers) + 1)
+    _, grad = toxicity.loss_and_gradient(bags, theta)
+    for i in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[i] = 1e-5
+        slope = (toxicity.loss_and_gradient(bags, theta + step)[0]
+                 - toxicity.loss_and_gradient(bags, theta - step)[0]) / 2e-5
+        assert grad[i] == pytest.approx(slope, rel=1e-4, abs=1e-8)
+
+
+@pytest.mark.parametrize("rows_of", [toxicity.training_rows, None])
+def test_repeated_ids_train_alike_in_any_partitioning(spark, rows_of):
+    rows, labels = toxic_docs(spark, 60)
+    twice = rows + [(i, f"other text {i}", "de", "b") for i, *_ in rows]
+    seen = set()
+    for n in (1, 5, 13):
+        docs = edge_docs(spark, twice).repartition(n)
+        kept = rows_of(docs, labels) if rows_of else language.training_rows(docs)
+        found = sorted((r.text, str(r.lang if rows_of is None else r.label)) for r in kept.collect())
+        assert len(found) == len({t for t, _ in found}) > 30
+        seen.add(str(found))
+    assert len(seen) == 1
+
+
+def test_words_are_letters_with_their_marks(spark):
+    find = language.word_pattern().findall
+    assert find("हिन्दी भाषा") == ["हिन्दी", "भाषा"] and find("வணக்கம் е́ль") == ["வணக்கம்", "е́ль"]
+    assert find("² ½ Ⅻ 12 _ ́") == [] and find("a1b²c") == ["a", "b", "c"]
+    docs = edge_docs(spark, [(i, "the cat sat on the mat", "en", "a") for i in range(40)] + [
+        (100, "² ½", None, "a"), (101, "Ⅻ ٣", None, "a"), (102, "the", None, "a")])
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.languages(docs).collect()}
+    assert found[100] == found[101] == ("und", 0.0) and found[102] == ("en", 1.0)
+
+
+def test_long_words_take_one_step_a_byte():
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    coder = bpe.Tokenizer(bpe.vocabulary_path())
+    rnd = random.Random(1)
+    for text in (" " * 400_000, "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=400_000)), "\n" * 5000,
+                 "=-" * 50_000, "é" * 20_000):
+        began = time.process_time()
+        ids = coder.encode(text)
+        assert time.process_time() - began < 5
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+        assert coder.decode(ids) == text
+
+
+def test_automaton_table_against_walking_the_labels():
+    a = bpe.tokenizer(bpe.vocabulary_path()).automaton
+    begins = {label[:n] for label in a.token for n in range(1, len(label) + 1)}
+    rnd = random.Random(8)
+    for _ in range(300):
+        word = bytes(rnd.choices(b" etaoinshr.,\n\xc3\xa9", k=12))
+        state = 0
+        for at in range(1, len(word) + 1):
+            state = a.step[state << 8 | word[at - 1]]
+            read = word[:at]
+            longest = next(read[k:] for k in range(at) if read[k:] in begins)
+            want = [(a.token[longest[k:]], len(longest) - k) for k in range(len(longest)) if longest[k:] in a.token]
+            assert list(a.ends[state]) == want

@@ -1,5 +1,6 @@
 """The registered queries with SQL against DuckDB; the pipeline against its parts."""
 
+import hashlib
 import os
 import sys
 
@@ -9,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from oracle_check import compare, duck  # noqa: E402
 
-from tillroll.llm import quality, simhash, toxicity  # noqa: E402
+from tillroll.llm import bpe, mixing, quality, simhash, toxicity  # noqa: E402
 from tillroll.llm.common import table  # noqa: E402
 from tillroll.llm.oracle import ORACLE_SQL  # noqa: E402
 from tillroll.llm.queries import QUERIES  # noqa: E402
@@ -22,11 +23,16 @@ def test_oracle(spark, sf_small, name):
 
 
 def test_pipeline_against_its_decisions(spark, sf_small):
+    """Ids, texts, digests and order of the whole pipeline, each stage done again beside it."""
+    from tokenizers import Tokenizer
+
     docs = table(spark, sf_small, "documents")
     kept = {r.doc_id for r in quality.quality_rules(docs).where("kept").collect()}
-    rest = docs.where(docs.doc_id.isin(sorted(kept)))
-    model = toxicity.train(rest, table(spark, sf_small, "labels"))
-    clean = [r for r in rest.collect() if model.score(r.text or "") < 0.5]
+    texts = {r.doc_id: r.clean_text for r in quality.cleaned(docs).collect()}
+    cleaned = spark.createDataFrame([(r.doc_id, texts[r.doc_id], r.lang, r.source, r.n_chars)
+                                     for r in docs.collect() if r.doc_id in kept], docs.schema)
+    model = toxicity.train(cleaned, table(spark, sf_small, "labels"))
+    clean = [r for r in cleaned.collect() if model.score(r.text or "") < 0.5]
     fps = [simhash.fingerprint((r.text or "").encode()) for r in clean]
     first = list(range(len(clean)))
     changed = True
@@ -39,9 +45,19 @@ def test_pipeline_against_its_decisions(spark, sf_small):
     groups = {}
     for r, f in zip(clean, first):
         groups.setdefault(f, []).append(r.doc_id)
+    left = {min(g) for g in groups.values()}
     result = corpus_pipeline.run(spark, sf_small)
-    assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert sorted(r.doc_id for r in result.collect()) == sorted(min(g) for g in groups.values())
+    assert result.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "mix_file", "mix_row"]
+    rows = sorted(result.collect(), key=lambda r: (r.mix_file, r.mix_row))
+    assert {r.doc_id for r in rows} == left and len(rows) == len(left)
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    mixed = mixing.mix(cleaned.where(cleaned.doc_id.isin(sorted(left)))).orderBy("mix_slot", "mix_place").collect()
+    assert [r.doc_id for r in rows] == [r.doc_id for r in mixed]
 
 
 def boilerplate_docs(spark):

@@ -7,11 +7,16 @@ beside every path a, b, and the state behind an arc a loses its arc b, because t
 have merged them. What a state accepts depends only on the arc that led to it, so
 the states are the tokens, and the gadgets' tables (parts, time of birth, cuts)
 determine every arc: the state behind p has an arc t if undoing the younger of
-both, again and again, meets no cut that was made before. Arcs are derived on first use and
-kept in a bounded table. A rule whose path does not exist at its time makes no arc.
+both, again and again, meets no cut that was made before. A rule whose path does not exist at
+its time makes no arc.
 
-Each byte string has one accepted path. A word is encoded by following the arcs from
-the start, longest label first, and going back where no arc leads on. Decoding joins the labels of the arcs.
+It is made deterministic over bytes. The arcs' labels form a tree, and a table (states by 256 bytes)
+says for every state, the longest end of what was read that begins a label, where the next byte leads; each
+state lists the labels that end there. One step of the table a byte, and of the listed labels
+the one whose arc leaves the state that was reached before it: each byte string has one accepted path, so
+one label at each place fits, and nothing is tried again. Whether two tokens are joined by an arc
+is derived from the gadgets on first use and kept in a bounded table. Decoding emits
+the labels of the arcs.
 
 Cases: a null text counts as empty (no tokens); special strings in a text become
 their own ids, as in the library's default; null and repeated ids and repeated rows keep
@@ -62,7 +67,7 @@ class Automaton:
             i: t.encode() for t, i in special.items()}
         self.special = special
         self.left, self.right, self.born, self.cut = {}, {}, {START: -1}, {}
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}
         self.token: dict[bytes, int] = {}
         for c, b in byte_of.items():
             self.born[vocab[c]] = -1
@@ -70,7 +75,42 @@ class Automaton:
         for time, rule in enumerate(merges):
             a, b = rule.split(" ") if isinstance(rule, str) else rule
             self._add_gadget(time, vocab[a], vocab[b], vocab[a + b], label[a + b])
-        self.longest = max(map(len, self.token))
+        self._compile()
+
+    def _compile(self) -> None:
+        """``step``: the state behind state * 256 + byte; ``ends``: the (token, length) of the labels that
+        end in a state, the longest first. Made level by level of the labels' tree."""
+        children: dict[int, int] = {}
+        own, depth = [None], [0]
+        for label, t in self.token.items():
+            at = 0
+            for n, byte in enumerate(label, 1):
+                key = at << 8 | byte
+                at = children.get(key)
+                if at is None:
+                    at = children[key] = len(own)
+                    own.append(None)
+                    depth.append(n)
+            own[at] = (t, len(label))
+        keys, states = (np.fromiter(x, np.int64, len(children)) for x in (children.keys(), children.values()))
+        order = np.argsort(np.array(depth)[states], kind="stable")
+        keys, states = keys[order], states[order]
+        levels = np.array(depth)[states]
+        step = np.zeros((len(own), 256), np.int32)
+        other = np.zeros(len(own), np.int64)  # the next shorter end that begins a label
+        self.ends: list[tuple] = [()] * len(own)
+        step[0, keys[levels == 1] & 255] = states[levels == 1]
+        for level in range(1, int(levels.max()) + 1):
+            here = states[levels == level]
+            step[here] = step[other[here]]
+            for state in here.tolist():
+                shorter = self.ends[other[state]]
+                self.ends[state] = (own[state], *shorter) if own[state] else shorter
+            below = levels == level + 1
+            parent, byte, child = keys[below] >> 8, keys[below] & 255, states[below]
+            other[child] = step[other[parent], byte]
+            step[parent, byte] = child
+        self.step = memoryview(step.reshape(-1))
 
     def _add_gadget(self, time: int, a: int, b: int, t: int, label: bytes) -> None:
         if a in self.born and b in self.born and t not in self.born and self._open(a, b, time):
@@ -91,36 +131,30 @@ class Automaton:
                 return True
 
     def has_arc(self, p: int, t: int) -> bool:
-        found = self.arcs.get((p, t))
+        key = (p + 1) << 32 | t
+        found = self.arcs.get(key)
         if found is None:
             if len(self.arcs) >= CACHE_ARCS:
                 self.arcs.clear()
-            found = self.arcs[p, t] = self._open(p, t, 1 << 60)
+            found = self.arcs[key] = self._open(p, t, 1 << 60)
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The accepted path that spells the word. Arcs are tried from the longest; a place
-        that was reached and has no way on is never tried again, because only one path
-        leads to a place."""
-        token, arcs, arc = self.token.get, self.arcs.get, self.has_arc
-        n, longest, dead = len(word), self.longest, set()
-        path, at, state = [], 0, START
-        size = min(n, longest)
-        while at < n:
-            while size:
-                t = token(word[at:at + size])
-                if t is not None and at + size not in dead:
-                    step = (state, t)
-                    if arcs(step) or (step not in self.arcs and arc(*step)):
-                        break
-                size -= 1
-            if size:
-                path.append(t)
-                at, state, size = at + size, t, min(n - at - size, longest)
-            else:
-                dead.add(at)
-                back = len(self.labels[path.pop()])
-                at, state, size = at - back, path[-1] if path else START, back - 1
+        """The accepted path that spells the word."""
+        step, ends, has_arc, state = self.step, self.ends, self.has_arc, 0
+        behind, sizes = [START], [0]  # the last token of each prefix, and its length
+        for at, byte in enumerate(word, 1):
+            state = step[state << 8 | byte]
+            for t, size in ends[state]:
+                if has_arc(behind[at - size], t):
+                    break
+            behind.append(t)
+            sizes.append(size)
+        path, at = [], len(word)
+        while at:
+            path.append(behind[at])
+            at -= sizes[at]
+        path.reverse()
         return path
 
     def decode(self, ids: list[int]) -> bytes:
@@ -161,30 +195,33 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
-def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, ids (array of int), decoded (the
-    text that the ids give)."""
+    text that the ids give), and the columns of ``docs`` named in ``keep``."""
     path = path or vocabulary_path()
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kinds = [(c, docs.schema[c].dataType.simpleString()) for c in ("doc_id", *keep)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = tokenizer(path)
         for batch in slices(batches, 128):
-            ids = [coder.encode(t) for t in batch.column(1).to_pylist()]
+            ids = [coder.encode(t) for t in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), lists, pa.array([coder.decode(i) for i in ids], pa.string())],
-                ["doc_id", "ids", "decoded"])
+                [lists, pa.array([coder.decode(i) for i in ids], pa.string()), *batch.columns[1:]],
+                ["ids", "decoded", *(c for c, _ in kinds)])
 
-    return docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
-        .mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    found = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"),
+                        *(c for c, _ in kinds)).mapInArrow(
+        run, "ids array<int>, decoded string, " + ", ".join(f"{c} {k}" for c, k in kinds))
+    return found.select("doc_id", "ids", "decoded", *keep)
 
 
 def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents, and their other columns."""
+    rest = [c for c in encoded.columns if c not in ("doc_id", "ids", "decoded")]
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
         .alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *rest)

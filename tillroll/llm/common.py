@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll import session
@@ -50,6 +50,33 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, folds: int, fold: int, max_rows: int,
+                    max_chars: int) -> DataFrame:
+    """(doc_id, label, text, h) of training documents: ids of ``labels`` (doc_id, label) outside the
+    held-out fold, those whose ids hash smallest, at most ``max_rows`` of them and ``max_chars``
+    characters together. Every id stands once: of several labels the largest counts, of several
+    texts the one of smallest md5. ``h`` gives their order."""
+    inside = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), folds, fold)
+    marked = labels.where(F.col("label").isNotNull() & inside).groupBy("doc_id").agg(F.max("label").alias("label"))
+    usable = docs.where(inside & F.col("text").isNotNull()).select(
+        "doc_id", F.col("text").cast("string").alias("text"))
+    n = marked.count()
+    h = F.xxhash64("doc_id")
+    if n > 2 * max_rows:  # leaves well over max_rows ids to the sort
+        marked = marked.where(F.shiftrightunsigned(h, 33) < int((1 << 31) * 2.0 * max_rows / n))
+    content = F.md5(F.col("text").cast("binary"))
+    # digests meet the labels; texts only the chosen ids
+    sizes = usable.select("doc_id", content.alias("which"), F.length("text").alias("chars"))
+    sized = sizes.join(marked, "doc_id").groupBy("doc_id", "label").agg(
+        F.min(F.struct("which", "chars")).alias("w")).select("doc_id", "label", "w.which", "w.chars")
+    chosen = sized.orderBy(h, "doc_id").limit(max_rows).withColumn("h", h)
+    before = Window.orderBy("h", "doc_id")  # max_rows narrow rows at most
+    chosen = stored(chosen.withColumn("so_far", F.sum("chars").over(before)).where(
+        F.col("so_far") <= max_chars).drop("so_far", "chars"), "train-ids")
+    found = usable.join(F.broadcast(chosen), "doc_id").where(content == F.col("which"))
+    return found.select("doc_id", "label", "text", "h").dropDuplicates(["doc_id"])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once (Catalyst would copy the expression)."""
     return F.transform(F.array(value), body)[0]

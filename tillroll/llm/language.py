@@ -1,38 +1,43 @@
 """Language identification of mixed-language texts.
 
-A word (a run of letters, lower-cased) has a score for each learned language: the
+A word (a letter and the letters and marks that follow it, lower-cased) has a score for each learned language: the
 log probability of its character n-grams (1 to 4, with marks at both ends) in that
 language's training text. Its script narrows the candidates to the languages that were
 seen in that script. The Viterbi path over the words, where each change of language
 costs ``SWITCH``, labels spans of one language; the text's language is the one with
 the most words, and its score is their share.
 
-Fit. At most ``MAX_TRAIN`` documents with a language outside the held-out fold, those
-whose ids hash smallest, are counted by Spark, and the ``GRAMS`` commonest n-grams
-are kept (bounds on the fit only; every text is labelled whole).
+Fit. At most ``MAX_TRAIN`` documents with a language outside the held-out fold, and at most
+``MAX_TRAIN_CHARS`` characters of them, those whose ids hash smallest, are counted by Spark, and the ``GRAMS``
+commonest n-grams and the ``LANGUAGES`` languages of most training documents are kept (bounds on the fit
+only; every text is labelled whole).
 
 Cases: ``und`` with score 0 for a null text, one without letters, or when nothing was
 learned; null languages and null ids don't train; ties go to the language that sorts
-first; null and repeated ids and repeated rows keep their rows; other columns are
+first; of several texts or languages of an id one trains (smallest md5, largest language); null
+and repeated ids and repeated rows keep their rows; other columns are
 ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WordCache, held_out, slices, stored
+from tillroll.llm.common import WordCache, held_out, labelled_sample, slices, stored
 
 FOLDS, FOLD = 4, 2
-MAX_TRAIN, GRAMS, ORDERS, ALPHA = 20_000, 50_000, (1, 2, 3, 4), 0.5
+MAX_TRAIN, MAX_TRAIN_CHARS, GRAMS, LANGUAGES = 20_000, 100_000_000, 50_000, 256
+ORDERS, ALPHA = (1, 2, 3, 4), 0.5
 SWITCH, OTHER_SCRIPT, SCRIPT_SHARE = 8.0, 30.0, 0.001
 CACHE_WORDS, FLUSH, UNKNOWN = 150_000, 200_000, "und"
 #: First code points of script blocks, and the script from there on.
@@ -44,7 +49,22 @@ SCRIPTS = ((0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "arme
            (0xAC00, "hangul"), (0xD7B0, "other"), (0xF900, "han"), (0xFB00, "latin"),
            (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, "other"), (0x20000, "han"))
 _STARTS = [s for s, _ in SCRIPTS]
-_WORD = re.compile(r"[^\W\d_]+")
+
+
+@cache
+def word_pattern() -> re.Pattern:
+    """A letter (Unicode category L) and the letters and marks (M) after it, as ``re`` ranges: vowel
+    signs belong to their word, while raised digits, fractions and Roman numerals are no letters."""
+    def ranges(kinds: str) -> str:
+        inside = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] in kinds]
+        out, first = [], inside[0]
+        for a, b in zip(inside, [*inside[1:], -1]):
+            if b != a + 1:
+                out.append(f"\\U{first:08x}-\\U{a:08x}")
+                first = b
+        return "".join(out)
+
+    return re.compile(f"[{ranges('L')}][{ranges('LM')}]*")
 
 
 def script_of(word: str) -> str:
@@ -81,7 +101,8 @@ class Model:
 
     def label(self, texts: list[str]) -> list[np.ndarray]:
         """The language number of every word of every text."""
-        words = [_WORD.findall(t.lower()) for t in texts]
+        find = word_pattern().findall
+        words = [find(t.lower()) for t in texts]
         size = np.array([len(w) for w in words], np.int64)
         n = len(self.languages)
         scores = np.frombuffer(b"".join(self.words[w] for ws in words for w in ws), np.float32)
@@ -119,13 +140,11 @@ def viterbi(scores: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
     return np.split(path, np.cumsum(size)[:-1]) if len(size) else []
 
 
-def training_rows(docs: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    usable = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
-                        & F.col("text").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD))
-    chosen = stored(usable.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-                    .limit(max_train), "train-ids")  # one number a row
-    return usable.join(F.broadcast(chosen), "doc_id").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+def training_rows(docs: DataFrame, max_train: int = MAX_TRAIN, max_chars: int = MAX_TRAIN_CHARS) -> DataFrame:
+    marks = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("lang").cast("string").alias("label"))
+    rows = stored(labelled_sample(docs, marks, FOLDS, FOLD, max_train, max_chars), "train-rows")
+    named = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).select("label")
+    return rows.join(F.broadcast(named), "label").select(F.col("label").alias("lang"), "text")
 
 
 def train(docs: DataFrame, max_train: int = MAX_TRAIN, n_grams: int = GRAMS) -> Model:
@@ -146,7 +165,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, n_grams: int = GRAMS) ->
 
         for batch in slices(batches, 128):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found.update((lang, w) for w in _WORD.findall(text.lower()))
+                found.update((lang, w) for w in word_pattern().findall(text.lower()))
                 if len(found) >= FLUSH:
                     yield out()
         yield out()

@@ -3,13 +3,13 @@ marginal likelihood of a subword lattice.
 
 Words are counted over the training documents (those outside the held-out fold), with
 one end token a document. The lattice of a word has the pieces of an existing vocabulary
-as arcs: their probabilities come from how the vocabulary segments the distinct
-training words (add one; the file's own scores are merge ranks, not probabilities), and byte
-pieces stand for characters without a piece. A word that was trained has one more arc
-over its whole length. The whole-word arcs have the share ``N / (N + T)`` of the mass, the
-subword arcs the rest (``T`` distinct among ``N`` training tokens: Witten-Bell). The
-probability of a word sums over all its segmentations, by the forward recursion in log
-space; a text's is the product over its words and its end, as no arc crosses a word.
+as arcs, and its byte pieces for characters without a piece. The file's own scores are merge ranks and
+no probabilities, so the pieces' are estimated: counts of the vocabulary's cuts of the training
+words, then ``ROUNDS`` of expectation maximisation over all their segmentations, with one added to
+each count. The end is a piece too, so the pieces' probabilities sum to one and
+a text's is the sum over all its segmentations into pieces, up to its end. No piece
+crosses a word, so that sum is the product of the words' marginals, each by the forward recursion in
+log space (words of one length at once), and of the end's probability.
 
 Every distinct word of the corpus is counted and scored once, in a table that grows
 with it. Documents look their words up in two tiers: the ``FREQUENT`` commonest words
@@ -40,6 +40,8 @@ from tillroll.llm.common import held_out, slices, stored
 VOCABULARY = "piece_bpe_32k.model"
 FOLDS, FOLD = 7, 2
 FREQUENT, LONGEST, FLUSH, NO_PIECE = 200_000, 64, 200_000, -50.0
+#: Rounds of expectation maximisation; longer words count by the vocabulary's cut, and are scored one by one.
+ROUNDS, MANY_CHARS = 2, 64
 #: Fixed value: the mark that starts a word in the pieces.
 MARK = "▁"
 END = ""  # no word is empty
@@ -92,84 +94,162 @@ def pieces_of(path: str):
     return sp, names, bytes_
 
 
-def piece_counts(words: DataFrame, path: str) -> DataFrame:
-    """(piece, n): pieces of the segmentations of the distinct training words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp, names, _ = pieces_of(path)
-        n = np.zeros(len(names), np.int64)
-        for batch in slices(batches, 4096):
-            ids = sp.encode(batch.column(0).to_pylist(), num_threads=1)
-            n += np.bincount(np.array([i for x in ids for i in x], np.int64), minlength=len(names))
-        used = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["piece", "n"])
-
-    return words.where("c > 0 and word <> ''").select("word").mapInArrow(
-        run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-
-
 class Lattice:
     """Log probabilities (natural) of pieces, and the marginal probability of words.
-    ``counts`` are of the pieces; ``trained`` and ``distinct`` of the training tokens."""
+    ``counts`` are of the pieces, ``ends`` those of the end."""
 
-    def __init__(self, names: list[str], byte_ids: dict[int, int], counts: np.ndarray,
-                 trained: int, distinct: int):
+    def __init__(self, names: list[str], byte_ids: dict[int, int], counts: np.ndarray, ends: float):
         # control pieces make no text: only pieces that can stand in a word share the mass
-        usable = [i for i, n in enumerate(names) if not (n.startswith("<") and n.endswith(">") and len(n) > 2)
-                  or i in set(byte_ids.values())]
-        total = int(counts[usable].sum()) + len(usable)
-        logp = np.log((counts + 1) / total)
         bytes_ = set(byte_ids.values())
-        self.pieces = {names[i]: float(logp[i]) for i in usable if i not in bytes_}
-        self.bytes = {b: float(logp[i]) for b, i in byte_ids.items()}
-        self.longest = max(map(len, self.pieces))
-        self.whole = math.log(trained + distinct) if trained else 0.0
-        self.escape = math.log(distinct / (trained + distinct)) if trained else 0.0
-
-    def marginal(self, word: str, count: int) -> float:
-        """log P(word): all paths over the subword arcs, and the arc of the whole word. The
-        end has no subword arcs (where no document trained, one of the least weight)."""
-        if word == END:
-            return math.log(max(count, 0.5)) - self.whole
-        parts = self.escape + self.subwords(word)
-        return float(np.logaddexp(parts, math.log(count) - self.whole)) if count else parts
-
-    def subwords(self, word: str) -> float:
-        """log of the sum over all segmentations: alpha[i] sums over the pieces that end at
-        character i."""
-        text = MARK + word
-        piece, longest, exp, log = self.pieces.get, self.longest, math.exp, math.log
+        usable = [i for i, n in enumerate(names) if i in bytes_
+                  or not (n.startswith("<") and n.endswith(">") and len(n) > 2)]
+        total = math.log(float(counts[usable].sum()) + len(usable) + ends + 1)
+        self.logp = np.log(counts + 1.0) - total
+        self.end = math.log(ends + 1) - total
+        self.piece = {names[i]: i for i in usable if i not in bytes_}
+        self.bytes = byte_ids
+        self.longest = max(map(len, self.piece))
+
+    def spelled(self, char: str) -> list[int]:
+        """A character as its byte pieces; a byte without a piece (-1) is next to impossible."""
+        return [self.bytes.get(b, -1) for b in char.encode()]
+
+    def spelled_logp(self, char: str) -> float:
+        return sum(float(self.logp[i]) if i >= 0 else NO_PIECE for i in self.spelled(char))
+
+    def marginal(self, word: str) -> float:
+        """log of the sum over all segmentations of one word: alpha[i] sums over the pieces that end
+        at character i."""
+        text, get, logp, longest = MARK + word, self.piece.get, self.logp, self.longest
         alpha = [0.0]
         for end in range(1, len(text) + 1):
-            ways = [alpha[at] + p for at in range(end - longest if end > longest else 0, end)
-                    if (p := piece(text[at:end])) is not None]
-            ways.append(alpha[-1] + self.spelled(text[end - 1]))
-            if len(ways) == 1:
-                alpha.append(ways[0])
-            else:
-                top = max(ways)
-                alpha.append(top + log(sum([exp(x - top) for x in ways])))
+            ways = [alpha[at] + float(logp[i]) for at in range(end - longest if end > longest else 0, end)
+                    if (i := get(text[at:end])) is not None]
+            ways.append(alpha[-1] + self.spelled_logp(text[end - 1]))
+            top = max(ways)
+            alpha.append(top + math.log(sum([math.exp(x - top) for x in ways])))
         return alpha[-1]
 
-    def spelled(self, char: str) -> float:
-        """A character as its byte pieces; a byte without a piece is next to impossible."""
-        return sum(self.bytes.get(b, NO_PIECE) for b in char.encode())
+    def arcs(self, words: list[str]) -> np.ndarray:
+        """Piece numbers (-1: none) of words of one length: [end - 1, size - 1, word]."""
+        n = len(words[0]) + 1
+        spans = [(end - size, end) for end in range(1, n + 1) for size in range(1, min(end, self.longest) + 1)]
+        get = self.piece.get
+        flat = np.array([get(t[a:b], -1) for t in (MARK + w for w in words) for a, b in spans], np.int32)
+        out = np.full((n, min(n, self.longest), len(words)), -1, np.int32)
+        ends, sizes = np.array([(b - 1, b - a - 1) for a, b in spans]).T
+        out[ends, sizes] = flat.reshape(len(words), -1).T
+        return out
+
+    def forward(self, words: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(weights of the arcs, weights of spelled characters, alpha) in log, words of one length."""
+        weights = np.where(ids >= 0, self.logp[ids], -np.inf)
+        n = len(ids)
+        chars = {c: self.spelled_logp(c) for c in {MARK, *"".join(words)}}
+        spelled = np.array([[chars[c] for c in MARK + w] for w in words]).T
+        alpha = np.zeros((n + 1, len(words)))
+        for end in range(1, n + 1):
+            k = min(end, ids.shape[1])
+            ways = np.concatenate([alpha[end - k:end][::-1] + weights[end - 1, :k],
+                                   (alpha[end - 1] + spelled[end - 1])[None]])
+            alpha[end] = np.logaddexp.reduce(ways, axis=0)
+        return weights, spelled, alpha
+
+    def marginals(self, words: list[str]) -> list[float]:
+        """``marginal`` of many words."""
+        out = np.empty(len(words))
+        for same in by_length(words):
+            part = [words[i] for i in same]
+            if len(part[0]) > MANY_CHARS:
+                out[same] = [self.marginal(w) for w in part]
+            else:
+                out[same] = self.forward(part, self.arcs(part))[2][-1]
+        return out.tolist()
+
+    def expected(self, words: list[str], times: np.ndarray) -> np.ndarray:
+        """Expected numbers of the pieces over all segmentations of words of one length."""
+        ids = self.arcs(words)
+        weights, spelled, alpha = self.forward(words, ids)
+        n, sizes = ids.shape[:2]
+        beta = np.zeros((n + 1, len(words)))
+        for at in range(n - 1, -1, -1):
+            k = min(n - at, sizes)
+            steps = np.arange(k)
+            ways = np.concatenate([beta[at + 1:at + 1 + k] + weights[at + steps, steps],
+                                   (beta[at + 1] + spelled[at])[None]])
+            beta[at] = np.logaddexp.reduce(ways, axis=0)
+        total = alpha[-1]
+        counts = np.zeros(len(self.logp))
+        for end in range(1, n + 1):
+            k = min(end, sizes)
+            share = np.exp(alpha[end - k:end][::-1] + weights[end - 1, :k] + beta[end] - total) * times
+            held = ids[end - 1, :k] >= 0
+            counts += np.bincount(ids[end - 1, :k][held], share[held], len(counts))
+            rest = np.exp(alpha[end - 1] + spelled[end - 1] + beta[end] - total) * times
+            for i in np.flatnonzero(rest > 1e-9).tolist():
+                for piece in self.spelled((MARK + words[i])[end - 1]):
+                    counts[piece] += rest[i] if piece >= 0 else 0.0
+        return counts
+
+
+def by_length(words: list[str]) -> list[np.ndarray]:
+    """Indices of words of one length, at most 1024 at a time."""
+    size = np.array([len(w) for w in words])
+    order = np.argsort(size, kind="stable")
+    cuts = np.flatnonzero(np.diff(size[order])) + 1
+    return [part for same in np.split(order, cuts) for part in np.split(same, range(1024, len(same), 1024))
+            if len(part)]
+
+
+def piece_counts(words: DataFrame, path: str, lattice: Lattice | None = None) -> np.ndarray:
+    """How often each piece stands in the training words (word, c): by the vocabulary's own cut, or
+    with a lattice as expected over all segmentations."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp, names, _ = pieces_of(path)
+        n = np.zeros(len(names))
+
+        def cut(words: list[str], times: np.ndarray) -> None:
+            ids = sp.encode(words, num_threads=1)
+            flat = np.array([i for x in ids for i in x], np.int64)
+            np.add.at(n, flat, np.repeat(times, [len(x) for x in ids]))
+
+        for batch in slices(batches, 4096):
+            words, times = batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(float)
+            if lattice is None:
+                cut(words, times)
+                continue
+            for same in by_length(words):
+                part = [words[i] for i in same]
+                if len(part[0]) > MANY_CHARS:
+                    cut(part, times[same])
+                else:
+                    n += lattice.expected(part, times[same])
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["piece", "n"])
+
+    found = words.where("c > 0 and word <> ''").select("word", "c").mapInArrow(
+        run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()  # a row a piece
+    counts = np.zeros(len(pieces_of(path)[1]))
+    counts[found.column("piece").to_numpy()] = found.column("n").to_numpy()
+    return counts
 
 
 def word_table(docs: DataFrame, path: str) -> tuple[DataFrame, int, int]:
     """(word, c, logp) with logp in log10, the training tokens and the distinct ones."""
     words = stored(word_counts(docs), "word-counts")
     n = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    _, names, _ = pieces_of(path)
-    counts = np.zeros(len(names), np.int64)
-    for row in piece_counts(words, path).collect():  # at most one row a piece
-        counts[row["piece"]] = row["n"]
     trained, distinct = n[0], n[1]
+    ends = words.where(F.col("word") == END).agg(F.coalesce(F.max("c"), F.lit(0))).first()[0]
+    _, names, byte_ids = pieces_of(path)
+    counts = piece_counts(words, path)
+    for _ in range(ROUNDS):
+        counts = piece_counts(words, path, Lattice(names, byte_ids, counts, ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, names, byte_ids = pieces_of(path)
-        lattice = Lattice(names, byte_ids, counts, trained, distinct)
+        lattice = Lattice(names, byte_ids, counts, ends)
         for batch in slices(batches, 8192):
-            logp = list(map(lattice.marginal, *(c.to_pylist() for c in batch.columns[:2])))
+            logp = [lattice.end if w == END else x for w, x in zip(
+                batch.column(0).to_pylist(), lattice.marginals(batch.column(0).to_pylist()))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(np.array(logp) / math.log(10), pa.float64())],
                 ["word", "c", "logp"])
@@ -178,13 +258,26 @@ def word_table(docs: DataFrame, path: str) -> tuple[DataFrame, int, int]:
     return stored(scored, "scored-words"), trained, distinct
 
 
+def frequent_words(words: DataFrame, frequent: int) -> DataFrame:
+    """At most ``frequent`` of the commonest words: all above a count that a histogram of the counts'
+    logarithms gives (which words these are makes no difference to any score)."""
+    short = words.where(F.octet_length("word") <= LONGEST)
+    level = F.floor(F.log2(F.col("c") + 1) * 8)
+    total, least = 0, 0
+    for row in short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # < 512 rows
+        total += row["count"]
+        if total > frequent:
+            least = row["level"] + 1
+            break
+    return short.where(level >= least)
+
+
 def lm_scores(docs: DataFrame, path: str | None = None, frequent: int = FREQUENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score and score (log10)."""
     path = path or vocabulary_path(VOCABULARY)
     words, n_train, n_distinct = word_table(docs, path)
-    common = words.where(F.octet_length("word") <= LONGEST).orderBy(F.desc("c"), "word") \
-        .limit(frequent).toArrow().combine_chunks()
+    common = frequent_words(words, frequent).toArrow().combine_chunks()
     sent = docs.sparkSession.sparkContext.broadcast(
         ("\n".join(common.column("word").to_pylist()).encode(),
          common.column("c").to_numpy().tobytes(), common.column("logp").to_numpy().tobytes()))

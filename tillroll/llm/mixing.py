@@ -221,3 +221,12 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = BLO
 def mixture(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
     """The rows and columns of ``docs`` in the order of the mixture."""
     return _placed(docs, weights, block_docs).orderBy("slot", "place").select("row.*")
+
+
+def written_places(docs: DataFrame) -> DataFrame:
+    """A ``mixture`` that was written as Parquet and is read again, with the places of its rows:
+    ``mix_file`` (number of the part file) and ``mix_row`` (row in it). Sorted by the two, rows
+    are in the order of the mixture, which reading alone doesn't keep."""
+    return docs.select(
+        "*", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("mix_file"),
+        F.col("_metadata.row_index").alias("mix_row"))

@@ -34,10 +34,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WordCache, held_out, slices, stored
+from tillroll.llm.common import WordCache, held_out, labelled_sample, slices, stored
 
 FOLDS, FOLD, THRESHOLD = 5, 0, 0.3
 MAX_TRAIN, MAX_TRAIN_CHARS = 20_000, 100_000_000
@@ -95,26 +95,8 @@ class Features:
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
                   max_chars: int = MAX_TRAIN_CHARS) -> DataFrame:
     """(doc_id, label, text, h) within both bounds; every id stands once."""
-    inside = lambda c: F.col(c).isNotNull() & ~held_out(F.col(c), FOLDS, FOLD)
-    marked = labels.where(F.col("quality").isNotNull() & inside("doc_id")).groupBy("doc_id").agg(
-        (F.max("quality") > 0).cast("int").alias("label"))
-    usable = docs.where(inside("doc_id") & F.col("text").isNotNull()).select(
-        "doc_id", F.col("text").cast("string").alias("text"))
-    n = marked.count()
-    h = F.xxhash64("doc_id")
-    if n > 2 * max_train:  # leaves well over max_train ids to the sort
-        marked = marked.where(F.shiftrightunsigned(h, 33) < int((1 << 31) * 2.0 * max_train / n))
-    # digests meet the labels; texts only the chosen ids
-    sizes = usable.select("doc_id", F.md5(F.col("text").cast("binary")).alias("which"),
-                          F.length("text").alias("chars"))
-    sized = sizes.join(marked, "doc_id").groupBy("doc_id", "label").agg(
-        F.min(F.struct("which", "chars")).alias("w")).select("doc_id", "label", "w.which", "w.chars")
-    chosen = sized.orderBy(h, "doc_id").limit(max_train).withColumn("h", h)
-    before = Window.orderBy("h", "doc_id")  # max_train narrow rows at most
-    chosen = stored(chosen.withColumn("so_far", F.sum("chars").over(before)).where(
-        F.col("so_far") <= max_chars).drop("so_far", "chars"), "quality-ids")
-    found = usable.join(F.broadcast(chosen), "doc_id").where(F.md5(F.col("text").cast("binary")) == F.col("which"))
-    return found.select("doc_id", "label", "text", "h").dropDuplicates(["doc_id"])
+    marks = labels.select("doc_id", (F.col("quality") > 0).cast("int").alias("label"))
+    return labelled_sample(docs, marks, FOLDS, FOLD, max_train, max_chars)
 
 
 def bags(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:

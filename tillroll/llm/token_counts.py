@@ -15,6 +15,7 @@ rows keep their rows; other columns are ignored; an empty table gives an empty r
 
 from __future__ import annotations
 
+import hashlib
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -88,6 +89,18 @@ def _bare(path: str) -> Counts:
     return Counts(path)
 
 
+_of_worker: dict[str, tuple[bytes, Counts]] = {}
+
+
+def _worker_counts(path: str, words: bytes, lengths: bytes) -> Counts:
+    """The worker process keeps its parsed vocabulary and its cache from task to task, as long as
+    the frequent tier is the same."""
+    tier = hashlib.md5(words + lengths).digest()
+    if _of_worker.get(path, (None,))[0] != tier:
+        _of_worker[path] = tier, Counts(path, words, lengths)
+    return _of_worker[path][1]
+
+
 def frequent_lengths(docs: DataFrame, path: str, size: int = FREQUENT,
                      sample_docs: int = SAMPLE_DOCS) -> tuple[bytes, bytes]:
     """The commonest pre-tokens of the sample, joined by line ends, and their lengths
@@ -122,7 +135,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(path, *sent.value)
+        counts = _worker_counts(path, *sent.value)
         for batch in slices(batches):
             n = [counts.count(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(

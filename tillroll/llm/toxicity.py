@@ -7,11 +7,12 @@ unless every sentence is clean, so its probability is the noisy-or
 ``1 - prod(1 - p)``. The weights are trained from document labels alone, and the
 trained sentence scores then locate the offending sentences.
 
-Fit. At most ``MAX_TRAIN`` labelled documents, those whose ids hash smallest, are
-used (a bound on the fit only; every document is scored). Spark counts in how many
+Fit. At most ``MAX_TRAIN`` labelled documents, and at most ``MAX_TRAIN_CHARS`` characters of
+them, those whose ids hash smallest, are used (bounds on the fit only; every document is scored on its
+whole text). Spark counts in how many
 toxic and clean training documents each word and prefix stands; the ``VOCABULARY`` of them
-with the strongest log-odds are the features. The bags go to the driver as rows of
-feature numbers (bounded by both parameters), where gradient steps with an L2 penalty fit
+with the strongest log-odds are the features. The bags go to the driver as flat arrays of
+feature numbers (bounded by the parameters), where gradient steps with an L2 penalty fit
 the weights.
 
 Sentences end at ``.``, ``!``, ``?`` or a line end that white space or the text's
@@ -19,7 +20,7 @@ end follows. Words are runs of letters, lower-cased. Score: empty and null texts
 sentence and score 0.
 
 Cases: null labels and labels without a document are ignored; of several labels of an
-id the largest counts; a null doc_id is never a training row and is scored like any
+id the largest counts, of several texts the one of smallest md5; a null doc_id is never a training row and is scored like any
 other; repeated rows are scored alike; with no labelled rows, or of one class only, the
 score is the share of toxic training rows; other columns are ignored; an empty table
 gives an empty result.
@@ -36,10 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import held_out, slices, stored
+from tillroll.llm.common import held_out, labelled_sample, slices, stored
 
 FOLDS, FOLD = 5, 0
-MAX_TRAIN, VOCABULARY, MIN_DOCS = 20_000, 4096, 3
+MAX_TRAIN, MAX_TRAIN_CHARS, VOCABULARY, MIN_DOCS = 20_000, 100_000_000, 4096, 3
 PREFIXES = range(4, 9)
 CACHE_WORDS = 200_000
 L2, STEPS, RATE = 3e-5, 400, 0.05
@@ -128,62 +129,71 @@ def bags(docs: DataFrame, vocabulary: dict[str, int] | None) -> DataFrame:
                 plain.append(len(rows) - len(known[-1]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(plain, pa.int32()),
-                 pa.array(known, pa.list_(pa.list_(pa.int32())))], ["label", "plain", "known"])
+                 pa.array(known, pa.list_(pa.list_(pa.int32()))), *batch.columns[2:]],
+                ["label", "plain", "known", "h", "doc_id"])
 
-    docs = docs.select("label", "text")
     if vocabulary is None:
-        return docs.mapInArrow(words, "label int, word string")
-    return docs.mapInArrow(features, "label int, plain int, known array<array<int>>")
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(doc_id, label, text) of at most ``max_train`` ids outside the held-out fold."""
-    usable = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()
-                        & ~held_out(F.col("doc_id"), FOLDS, FOLD)).select("doc_id", "text")
-    marked = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"), FOLDS, FOLD)) \
-        .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label"))
-    ids = usable.select("doc_id").distinct().join(marked, "doc_id")
-    chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    chosen = stored(chosen, "train-ids")  # two numbers a row, max_train rows at most
-    return usable.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-
-
-def _fit(rows: list, n_words: int) -> tuple[np.ndarray, float]:
-    """Adam on the mean negative log-likelihood of the noisy-or, plus L2 on the weights."""
-    y = np.array([r["label"] for r in rows], float)
-    plain = np.array([r["plain"] for r in rows], float)
-    doc, feature, sentence, n = [], [], [], 0
-    for d, r in enumerate(rows):
-        for s in r["known"]:
-            doc.append(d)
-            feature += s
-            sentence += [n] * len(s)
-            n += 1
-    doc, feature, sentence = (np.array(x, np.int64) for x in (doc, feature, sentence))
+        return docs.select("label", "text").mapInArrow(words, "label int, word string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("label", "text", "h", "doc_id").mapInArrow(
+        features, f"label int, plain int, known array<array<int>>, h long, doc_id {kind}")
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
+                  max_chars: int = MAX_TRAIN_CHARS) -> DataFrame:
+    """(doc_id, label, text, h) of the training documents, each id once."""
+    marks = labels.select("doc_id", (F.col("toxic") > 0).cast("int").alias("label"))
+    return labelled_sample(docs, marks, FOLDS, FOLD, max_train, max_chars)
+
+
+class Bags:
+    """Labels ``y``, sentences without a feature ``plain``, and for each feature of a sentence its
+    number ``feature`` and the sentence ``sentence``, which is one of the document ``doc``."""
+
+    def __init__(self, table: pa.Table):
+        self.y = table.column("label").to_numpy().astype(float)
+        self.plain = table.column("plain").to_numpy().astype(float)
+        known = table.column("known").combine_chunks()
+        per_doc, inner = np.diff(known.offsets.to_numpy()), known.values
+        self.doc = np.repeat(np.arange(len(self.y)), per_doc)
+        sizes = np.diff(inner.offsets.to_numpy())
+        self.sentence = np.repeat(np.arange(len(sizes)), sizes)
+        self.feature = inner.values.to_numpy().astype(np.int64)
+
+
+def loss_and_gradient(bags: Bags, theta: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood of the noisy-or plus L2 on the weights; ``theta`` ends with
+    the bias."""
+    w, b = theta[:-1], theta[-1]
+    n, soft = len(bags.doc), lambda z: np.logaddexp(0.0, z)
+    z = b + np.bincount(bags.sentence, w[bags.feature], n) if n else np.zeros(0)
+    s = np.bincount(bags.doc, soft(z), len(bags.y)) + bags.plain * soft(b)  # -log of P(all clean)
+    s = np.maximum(s, 1e-9)
+    toxic = bags.y > 0
+    loss = np.where(toxic, -np.log(-np.expm1(-np.minimum(s, 50))), s).mean() + L2 * (w @ w)
+    g = np.where(toxic, -1 / np.expm1(np.minimum(s, 50)), 1.0) / len(bags.y)  # d loss / d s
+    gz = g[bags.doc] / (1 + np.exp(-z))
+    grad = np.empty_like(theta)
+    grad[:-1] = np.bincount(bags.feature, gz[bags.sentence], len(w)) + 2 * L2 * w
+    grad[-1] = gz.sum() + (g * bags.plain).sum() / (1 + np.exp(-b))
+    return float(loss), grad
+
+
+def _fit(bags: Bags, n_words: int) -> tuple[np.ndarray, float]:
+    """Adam steps on ``loss_and_gradient``."""
     theta = np.zeros(n_words + 1)
     theta[-1] = -6.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    soft = lambda z: np.logaddexp(0.0, z)
     for step in range(1, STEPS + 1):
-        w, b = theta[:-1], theta[-1]
-        z = b + np.bincount(sentence, w[feature], n) if n else np.zeros(0)
-        s = np.bincount(doc, soft(z), len(y)) + plain * soft(b)  # -log of P(all clean)
-        s = np.maximum(s, 1e-9)
-        g = np.where(y > 0, -1 / np.expm1(np.minimum(s, 50)), 1.0) / len(y)  # d loss / d s
-        p = 1 / (1 + np.exp(-z))
-        gz = g[doc] * p
-        grad = np.empty_like(theta)
-        grad[:-1] = np.bincount(feature, gz[sentence], n_words) + 2 * L2 * w
-        grad[-1] = gz.sum() + (g * plain).sum() / (1 + np.exp(-b))
+        grad = loss_and_gradient(bags, theta)[1]
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad ** 2
         theta = theta - RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return theta[:-1], float(theta[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
-          vocabulary: int = VOCABULARY) -> Model:
-    rows = stored(training_rows(docs, labels, max_train), "train-rows")
+def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY, **bounds) -> Model:
+    rows = stored(training_rows(docs, labels, **bounds), "train-rows")
     sizes = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
     if not 0 < sizes["toxic"] < sizes["n"]:
         return Model({}, 0.0, sizes["toxic"] / max(1, sizes["n"]))
@@ -196,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN,
     best = counts.where(F.col("t") + F.col("c") >= MIN_DOCS).orderBy(
         F.abs(odds / spread).desc(), "word").limit(vocabulary)
     numbers = {r["word"]: i for i, r in enumerate(best.select("word").collect())}
-    w, b = _fit(bags(rows, numbers).collect(), len(numbers))
+    w, b = _fit(Bags(bags(rows, numbers).orderBy("h", "doc_id").toArrow()), len(numbers))
     return Model({x: float(w[i]) for x, i in numbers.items() if abs(w[i]) > 1e-3}, b)
 
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll import session
 from tillroll.llm import bpe, mixing, quality, simhash, toxicity
-from tillroll.llm.common import stored, table
+from tillroll.llm.common import scratch, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +35,9 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the encoded and decoded texts."""
-    return bpe.digests(bpe.encode(docs))
+    """Token counts and digests of the encoded and decoded texts, and each document's place in the
+    mixture."""
+    return bpe.digests(bpe.encode(mixing.written_places(docs), keep=("mix_file", "mix_row")))
 
 
 STAGES = [
@@ -51,8 +53,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each written as Parquet and read again."""
+    """The stages applied to ``documents``, each written as Parquet and read again. What a stage
+    stored on its way goes when its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            result = stage(spark, docs, sf_dir)
+            docs = session.stored(result, name.replace(" ", "-"))
     return docs

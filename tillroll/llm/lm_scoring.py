@@ -28,6 +28,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,14 @@ class Lattice:
         self.piece = {names[i]: i for i in usable if i not in bytes_}
         self.bytes = byte_ids
         self.longest = max(map(len, self.piece))
+        # pieces by a 64-bit hash of their characters, behind a table of the hashes' first bits
+        found = [(_hashes([t for t, _ in same])[:, 0], [i for _, i in same])
+                 for same in _same_length(sorted(self.piece.items(), key=lambda p: len(p[0])))]
+        hashes = np.concatenate([h for h, _ in found])
+        order = np.argsort(hashes)
+        self.hashes, self.numbers = hashes[order], np.concatenate([i for _, i in found])[order].astype(np.int32)
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[hashes >> np.uint64(42)] = True
 
     def spelled(self, char: str) -> list[int]:
         """A character as its byte pieces; a byte without a piece (-1) is next to impossible."""
@@ -132,13 +141,17 @@ class Lattice:
 
     def arcs(self, words: list[str]) -> np.ndarray:
         """Piece numbers (-1: none) of words of one length: [end - 1, size - 1, word]."""
-        n = len(words[0]) + 1
-        spans = [(end - size, end) for end in range(1, n + 1) for size in range(1, min(end, self.longest) + 1)]
-        get = self.piece.get
-        flat = np.array([get(t[a:b], -1) for t in (MARK + w for w in words) for a, b in spans], np.int32)
+        codes = _codes([MARK + w for w in words])
+        n = codes.shape[1]
         out = np.full((n, min(n, self.longest), len(words)), -1, np.int32)
-        ends, sizes = np.array([(b - 1, b - a - 1) for a, b in spans]).T
-        out[ends, sizes] = flat.reshape(len(words), -1).T
+        h = np.zeros(codes.shape, np.uint64)
+        for size in range(1, out.shape[1] + 1):
+            h = h[:, :n - size + 1] * BASE + codes[:, size - 1:]
+            word, at = np.nonzero(self.maybe[_mixed(h) >> np.uint64(42)])
+            keys = _mixed(h[word, at])
+            place = np.minimum(np.searchsorted(self.hashes, keys), len(self.hashes) - 1)
+            hit = self.hashes[place] == keys
+            out[at[hit] + size - 1, size - 1, word[hit]] = self.numbers[place[hit]]
         return out
 
     def forward(self, words: list[str], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,6 +205,32 @@ class Lattice:
         return counts
 
 
+BASE = np.uint64(0x100000001B3)
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    """Code points (and one) of texts of one length."""
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(len(texts), -1)
+    return flat.astype(np.uint64) + np.uint64(1)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hashes(texts: list[str]) -> np.ndarray:
+    codes = _codes(texts)
+    h = np.zeros(len(texts), np.uint64)
+    for i in range(codes.shape[1]):
+        h = h * BASE + codes[:, i]
+    return _mixed(h)[:, None]
+
+
+def _same_length(items: list[tuple[str, int]]) -> Iterator[list[tuple[str, int]]]:
+    return (list(same) for _, same in groupby(items, key=lambda p: len(p[0])))
+
+
 def by_length(words: list[str]) -> list[np.ndarray]:
     """Indices of words of one length, at most 1024 at a time."""
     size = np.array([len(w) for w in words])

@@ -27,19 +27,20 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WordCache, held_out, labelled_sample, slices, stored
+from tillroll.llm.common import held_out, labelled_sample, slices, stored
 
 FOLDS, FOLD = 4, 2
 MAX_TRAIN, MAX_TRAIN_CHARS, GRAMS, LANGUAGES = 20_000, 100_000_000, 50_000, 256
 ORDERS, ALPHA = (1, 2, 3, 4), 0.5
 SWITCH, OTHER_SCRIPT, SCRIPT_SHARE = 8.0, 30.0, 0.001
-CACHE_WORDS, FLUSH, UNKNOWN = 150_000, 200_000, "und"
+CACHE_WORDS, FLUSH, UNKNOWN = 300_000, 200_000, "und"
 #: First code points of script blocks, and the script from there on.
 SCRIPTS = ((0x41, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"),
            (0x590, "hebrew"), (0x600, "arabic"), (0x900, "devanagari"), (0x980, "indic"),
@@ -67,6 +68,17 @@ def word_pattern() -> re.Pattern:
     return re.compile(f"[{ranges('L')}][{ranges('LM')}]*")
 
 
+#: Below U+0300 and without raised digits and fractions there are no marks, and every \w that
+#: is neither a digit nor ``_`` is a letter: the quick pattern does.
+_RICH = re.compile("[²³¹¼-¾̀-\U0010ffff]")
+_QUICK = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    low = text.lower()
+    return (word_pattern() if _RICH.search(low) else _QUICK).findall(low)
+
+
 def script_of(word: str) -> str:
     return SCRIPTS[max(0, bisect_right(_STARTS, ord(word[0])) - 1)][1]
 
@@ -84,29 +96,48 @@ class Model:
                  scripts: dict[str, np.ndarray]):
         self.languages, self.grams, self.scores, self.scripts = languages, grams, scores, scripts
         self.number = {g: i for i, g in enumerate(grams)}
-        self.words = WordCache(self._score, CACHE_WORDS)
+        self.known: dict[str, bytes] = {}  # scores of words met lately
 
     def __reduce__(self):
         return Model, (self.languages, self.grams, self.scores, self.scripts)
 
-    def _score(self, word: str) -> bytes:
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each of ``words`` (all different)."""
         get, last = self.number.get, len(self.grams)
-        rows = [get(g, last) for g in grams_of(word)]
+        rows = [[get(g, last) for g in grams_of(w)] for w in words]
+        sizes = np.array([len(r) for r in rows])
+        flat = np.fromiter(chain.from_iterable(rows), np.int64, int(sizes.sum()))
+        total = np.add.reduceat(self.scores[flat], np.cumsum(sizes) - sizes)
         # the n-grams overlap: one part a letter
-        total = self.scores.take(rows, axis=0).sum(axis=0) * ((len(word) + 1) / len(rows))
-        allowed = self.scripts.get(script_of(word))
-        if allowed is not None and not allowed.all():
-            total = np.where(allowed, total, total.min() - OTHER_SCRIPT)
-        return total.astype(np.float32).tobytes()
+        total *= ((np.array([len(w) for w in words]) + 1) / sizes)[:, None]
+        script = [script_of(w) for w in words]
+        for name, allowed in self.scripts.items():
+            if not allowed.all():
+                at = np.flatnonzero([s == name for s in script])
+                barred = total[at].min(axis=1, keepdims=True) - OTHER_SCRIPT
+                total[at] = np.where(allowed, total[at], barred)
+        return total.astype(np.float32)
+
+    def _learn(self, words: list[str]) -> None:
+        """Puts the scores of ``words`` into ``known``, which holds them and others up to a bound."""
+        new = sorted(set(words).difference(self.known))
+        if len(self.known) + len(new) > CACHE_WORDS:
+            self.known = {}
+            new = sorted(set(words))
+        for at in range(0, len(new), 8192):
+            part = new[at:at + 8192]
+            raw, size = self.word_scores(part).tobytes(), 4 * len(self.languages)
+            for i, w in enumerate(part):
+                self.known[w] = raw[i * size:(i + 1) * size]
 
     def label(self, texts: list[str]) -> list[np.ndarray]:
         """The language number of every word of every text."""
-        find = word_pattern().findall
-        words = [find(t.lower()) for t in texts]
+        words = [words_of(t) for t in texts]
         size = np.array([len(w) for w in words], np.int64)
-        n = len(self.languages)
-        scores = np.frombuffer(b"".join(self.words[w] for ws in words for w in ws), np.float32)
-        return viterbi(scores.reshape(-1, n), size)
+        flat = list(chain.from_iterable(words))
+        self._learn(flat)
+        scores = np.frombuffer(b"".join(map(self.known.__getitem__, flat)), np.float32)
+        return viterbi(scores.reshape(-1, len(self.languages)), size)
 
 
 def viterbi(scores: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
@@ -165,7 +196,7 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN, n_grams: int = GRAMS) ->
 
         for batch in slices(batches, 128):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found.update((lang, w) for w in word_pattern().findall(text.lower()))
+                found.update((lang, w) for w in words_of(text))
                 if len(found) >= FLUSH:
                     yield out()
         yield out()

@@ -439,6 +439,62 @@ def test_embeddings_audit_of_every_index(spark, monkeypatch):
     assert audited and [got[i] for i in range(80)] == ((u @ u.T >= 0.93).sum(axis=1) - 1).tolist()
 
 
+def _cosine_links(x, label):
+    u = np.asarray(x, np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.93) & (label[:, None] == label)
+    np.fill_diagonal(near, False)
+    return near
+
+
+def test_embeddings_search_goes_to_other_clusters(spark, monkeypatch):
+    # an arc where a vector links with 11 on each side, cut by 12 centroids: many linked pairs
+    # share no cluster and are found only by visits
+    turn = np.linspace(0, np.pi, 96)
+    x = np.stack([np.cos(turn), np.sin(turn), np.zeros(96)], axis=1)
+    vectors = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)],
+                                    "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(embedding_dedup, "SHARD", 8)
+    recalls = []
+    audit = embedding_dedup.audit
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *a: recalls.append(audit(*a)) or recalls[-1])
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(vectors).collect()}
+    near = _cosine_links(x, np.zeros(96, int))
+    assert recalls == [1.0]  # the first index, with two clusters a vector
+    assert [got[i].n_links for i in range(96)] == near.sum(axis=1).tolist()
+    assert {r.component_id for r in got.values()} == {0}
+    # nobody visits: links are missing
+    monkeypatch.setattr(embedding_dedup, "search_visitors",
+                        lambda *_: spark.createDataFrame([], embedding_dedup.RESULT))
+    classes = embedding_dedup.stored(embedding_dedup.classes_of(vectors), "arc")
+    totals, _ = embedding_dedup.index_and_search(embedding_dedup.clustered(classes, 96, 12, 2))
+    assert totals.agg({"links": "sum"}).first()[0] < 0.95 * near.sum()
+
+
+def test_embeddings_levels_of_centroids(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(200, 16))
+    dense = base[0] + rng.normal(size=(150, 16)) * 0.15
+    x = np.concatenate([base, base + rng.normal(size=base.shape) * 0.1, dense]).astype(np.float32)
+    label = np.arange(len(x)) % 200 % 2
+    label[400:] = 0
+    vectors = spark.createDataFrame([(i, v.tolist(), int(y)) for i, (v, y) in enumerate(zip(x, label))],
+                                    "vec_id long, embedding array<float>, label int")
+    monkeypatch.setattr(embedding_dedup, "SHARD", 16)
+    monkeypatch.setattr(embedding_dedup, "MAX_CENTROIDS", 5)  # 22 wanted: two levels
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 24)  # and clusters cut into blocks
+    monkeypatch.setattr(embedding_dedup, "DEAL", 32)
+    monkeypatch.setattr(embedding_dedup, "audit", lambda *_: 1.0)  # this index, whatever it found
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(vectors).collect()}
+    near = _cosine_links(x, label)
+    found = np.array([got[i].n_links for i in range(len(x))])
+    assert (found <= near.sum(axis=1)).all() and found.sum() >= 0.95 * near.sum()
+    classes = embedding_dedup.classes_of(vectors).cache()  # one id a row
+    rows = embedding_dedup.clustered(classes, len(x), 22, 2).collect()
+    assert len(rows) == len(x) and all(1 <= len(r.clusters) <= 2 for r in rows)
+    assert len({c for r in rows for c in r.clusters}) > 5
+
+
 def test_frequent_tier_is_bounded(spark):
     words = spark.createDataFrame([(f"w{i}", i % 40) for i in range(1000)] + [("x" * 99, 999)], "word string, c long")
     for most in (1, 10, 100, 5000):

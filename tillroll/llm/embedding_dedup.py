@@ -156,7 +156,7 @@ def finer(rows: DataFrame, overlap: int, levels: int) -> DataFrame:
 
     def fit(key: tuple, part: pa.Table) -> pa.Table:
         c = _k_means(_units(part["embedding"]), part["k"][0].as_py())
-        return pa.table({"dim": [key[0].as_py()], "cluster": [key[1].as_py()],
+        return pa.table({"dim": pa.array([key[0].as_py()], pa.int32()), "cluster": [key[1].as_py()],
                          "centers": pa.array([c.ravel()], pa.list_(pa.float64()))})
 
     # the same class in every sample of its hash; the smallest clusters are their own sample
